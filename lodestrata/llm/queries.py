@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secret_scan
+from . import secret_scan, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,9 +25,15 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents."""
+    found = simhash.near_duplicates(_documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex_print(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict:
     """Every query of the subpackage by its registered name."""
-    return {"op1_secret_scan": op1_secret_scan}
+    return {f.__name__: f for f in (op1_secret_scan, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
