@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secret_scan, simhash
+from . import secret_scan, simhash, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,13 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat an earlier document's window of 50."""
+    found = substring_dedup.repeated_spans(_documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents."""
     found = simhash.near_duplicates(_documents(spark, sf_dir))
@@ -33,7 +40,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     """Every query of the subpackage by its registered name."""
-    return {f.__name__: f for f in (op1_secret_scan, op10_simhash)}
+    return {f.__name__: f for f in (op1_secret_scan, op8_substring_dedup, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
