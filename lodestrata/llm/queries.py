@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secret_scan, simhash, substring_dedup
+from . import bpe, secret_scan, simhash, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,13 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text decoded from them."""
+    found = bpe.decode(bpe.encode(_documents(spark, sf_dir)))
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat an earlier document's window of 50."""
     found = substring_dedup.repeated_spans(_documents(spark, sf_dir))
@@ -40,7 +47,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     """Every query of the subpackage by its registered name."""
-    return {f.__name__: f for f in (op1_secret_scan, op8_substring_dedup, op10_simhash)}
+    return {f.__name__: f for f in (op1_secret_scan, op6_bpe, op8_substring_dedup, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
