@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, secret_scan, simhash, substring_dedup
+from . import bpe, secret_scan, simhash, substring_dedup, token_blocks
+from .storage import written_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,13 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as packed blocks and read back."""
+    out = written_path(spark, "token-blocks")
+    token_blocks.write_tokens(_documents(spark, sf_dir), out)
+    return token_blocks.read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text decoded from them."""
     found = bpe.decode(bpe.encode(_documents(spark, sf_dir)))
@@ -47,7 +55,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     """Every query of the subpackage by its registered name."""
-    return {f.__name__: f for f in (op1_secret_scan, op6_bpe, op8_substring_dedup, op10_simhash)}
+    return {f.__name__: f for f in (op1_secret_scan, op4_token_blocks, op6_bpe, op8_substring_dedup, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
