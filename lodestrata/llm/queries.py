@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, secret_scan, simhash, substring_dedup, token_blocks
-from .storage import written_path
+from . import bpe, gif_media, secret_scan, simhash, substring_dedup, token_blocks
+from .storage import written, written_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,25 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as a GIF, read back, with features of its frames."""
+    stored = written(gif_media.store_texts(_documents(spark, sf_dir)), "gif-media")
+    # each file is decoded where it is read; its digest travels with it as the id
+    read = gif_media.media_columns(stored.select(F.struct("doc_id", "n_bytes", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256")).alias("key"), "media"), "key")
+    bins = F.aggregate("frames", F.array_repeat(F.lit(0).cast("long"), gif_media.BINS), lambda acc, f: F.zip_with(acc, F.slice(f["histogram"], 1, gif_media.BINS), lambda a, b: a + b))
+    shown = F.aggregate("frames", F.lit(0), lambda acc, f: acc + f["delay_ms"])
+    return read.select(
+        "key.doc_id",
+        "key.n_bytes",
+        F.octet_length("samples").cast("long").alias("payload_bytes"),
+        F.sha2("samples", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(samples, -16, 16)")).alias("tail_crc32"),
+        "key.media_bytes",
+        "key.media_sha256",
+        F.concat_ws(":", F.size("frames").cast("string"), shown.cast("string"), F.concat_ws(",", bins.cast("array<string>"))).alias("feature"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that repeat an earlier document's window of 50."""
     found = substring_dedup.repeated_spans(_documents(spark, sf_dir))
@@ -55,7 +74,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     """Every query of the subpackage by its registered name."""
-    return {f.__name__: f for f in (op1_secret_scan, op4_token_blocks, op6_bpe, op8_substring_dedup, op10_simhash)}
+    return {f.__name__: f for f in (op1_secret_scan, op4_token_blocks, op6_bpe, op7_gif_media, op8_substring_dedup, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
