@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, gif_media, secret_scan, simhash, substring_dedup, token_blocks
+from . import bpe, decontaminate, gif_media, secret_scan, shuffle_shards, simhash, substring_dedup, token_blocks
 from .storage import written, written_path
 
 
@@ -33,6 +33,19 @@ def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that each document holds, by greedy string tiling."""
+    found = decontaminate.benchmark_hits(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = F.array_sort(F.transform("hits", lambda h: h["item"]))
+    return found.select(
+        "doc_id",
+        (F.size("hits") > 0).alias("contaminated"),
+        F.size("hits").cast("long").alias("n_items"),
+        F.concat_ws(",", items.cast("array<string>")).alias("items"),
+        F.round(F.coalesce(F.array_max(F.transform("hits", lambda h: h["coverage"])), F.lit(0.0)), 6).alias("coverage"),
+    )
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text decoded from them."""
     found = bpe.decode(bpe.encode(_documents(spark, sf_dir)))
@@ -66,6 +79,16 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents dealt into 24 shards by their ids, shuffled, written and read back."""
+    out = written_path(spark, "shards")
+    schema = shuffle_shards.write_shards(_documents(spark, sf_dir), out)
+    text = F.coalesce(F.col("record.text"), F.lit(""))
+    size = (F.octet_length(text) + shuffle_shards.OVERHEAD).cast("long").alias("size")
+    found = shuffle_shards.slots(shuffle_shards.read_shards(spark, out, schema), F.col("record.doc_id").alias("doc_id"), size, F.crc32(text.cast("binary")).alias("text_crc32"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), shuffle_shards.shard_of(F.col("doc_id"), 25).alias("grown_shard"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents."""
     found = simhash.near_duplicates(_documents(spark, sf_dir))
@@ -74,7 +97,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     """Every query of the subpackage by its registered name."""
-    return {f.__name__: f for f in (op1_secret_scan, op4_token_blocks, op6_bpe, op7_gif_media, op8_substring_dedup, op10_simhash)}
+    return {f.__name__: f for f in (op1_secret_scan, op4_token_blocks, op5_decontaminate, op6_bpe, op7_gif_media, op8_substring_dedup, op9_shuffle_shards, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:

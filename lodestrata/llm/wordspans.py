@@ -111,13 +111,23 @@ def _long_word(data: np.ndarray) -> int:
     return out
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of the words of all rows, and the offsets of the rows in them. lower: A-Z count as a-z."""
+def folded_bytes(punctuation: bool = True) -> np.ndarray:
+    """A byte map for ``word_hashes``: A-Z to a-z and, if asked for, ASCII punctuation to spaces."""
+    out = np.arange(256, dtype=np.uint8)
+    out[65:91] += 32
+    if punctuation:
+        plain = np.array([chr(i).isalnum() for i in range(128)])
+        out[np.flatnonzero(~plain & (np.arange(128) > 32) & (np.arange(128) < 127))] = 32
+    return out
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of all rows, and the offsets of the rows in them. fold: what each byte counts as."""
     found, counts = [], np.zeros(len(offsets) - 1, np.int64)
     for row, end, at, cut in _slices(data, offsets):
         piece = data[at:cut]
-        if lower:
-            piece = np.where((piece - np.uint8(65)) < 26, piece | np.uint8(32), piece)
+        if fold is not None:
+            piece = fold[piece]
         local = np.clip(offsets[row : end + 1] - at, 0, cut - at)
         starts, ends = word_bounds(piece, local)
         if len(piece) <= SLICE_BYTES:
