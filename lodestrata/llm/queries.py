@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, gif_media, secret_scan, shuffle_shards, simhash, substring_dedup, token_blocks
+from . import bpe, decontaminate, gif_media, line_dedup, secret_scan, shuffle_shards, simhash, substring_dedup, token_blocks
 from .storage import written, written_path
 
 
@@ -26,6 +26,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that stand earlier, deleted in runs."""
+    found = line_dedup.deduplicated(_documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as packed blocks and read back."""
     out = written_path(spark, "token-blocks")
@@ -97,9 +103,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     """Every query of the subpackage by its registered name."""
-    return {f.__name__: f for f in (op1_secret_scan, op4_token_blocks, op5_decontaminate, op6_bpe, op7_gif_media, op8_substring_dedup, op9_shuffle_shards, op10_simhash)}
+    return {f.__name__: f for f in (op1_secret_scan, op3_line_dedup, op4_token_blocks, op5_decontaminate, op6_bpe, op7_gif_media, op8_substring_dedup, op9_shuffle_shards, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express on whole tables."""
-    return {}
+    return {"op3_line_dedup": line_dedup.ORACLE}
