@@ -96,13 +96,30 @@ class _Positions(dict):
         return at
 
 
-def _planes(values: np.ndarray) -> np.ndarray:
-    """The low, next, ... bytes of all values, which compress better apart."""
-    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).ravel()
+def _squeeze(values: np.ndarray, level: int = 3) -> bytes:
+    """Compressed unsigned 32-bit values: their upper bytes apart, then the low bytes of small and of other values."""
+    import zstandard
+
+    values = values.astype("<u4")
+    upper = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 4)[:, 1:].T)
+    low, small = values.astype(np.uint8), values < 256
+    pack = zstandard.ZstdCompressor(level=level).compress
+    parts = [pack(x.tobytes()) for x in (upper, low[small], low[~small])]
+    return np.array([len(values), *map(len, parts)], "<u8").tobytes() + b"".join(parts)
 
 
-def _from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def _expand(data: bytes) -> np.ndarray:
+    import zstandard
+
+    n, *sizes = np.frombuffer(data, "<u8", 4).tolist()
+    ends = 32 + np.cumsum([0, *sizes])
+    unpack = zstandard.ZstdDecompressor().decompress
+    upper, few, rest = (np.frombuffer(unpack(data[a:b]), np.uint8) for a, b in zip(ends, ends[1:], strict=False))
+    out = np.zeros((n, 4), np.uint8)
+    out[:, 1:] = upper.reshape(3, n).T
+    small = ~out.any(1)
+    out[small, 0], out[~small, 0] = few, rest
+    return out.view("<u4").ravel()
 
 
 def _split_block(part: pa.RecordBatch, words: WordSplitter, block: int, n: int) -> Iterator[pa.RecordBatch]:
@@ -118,10 +135,10 @@ def _split_block(part: pa.RecordBatch, words: WordSplitter, block: int, n: int)
     listed = list(seen)
     listed = [listed[i] for i in often.tolist()]
     bucket = np.fromiter((zlib.crc32(w.encode()) % n for w in listed), np.int64, len(listed))
-    zip_ = zstandard.ZstdCompressor(level=3).compress
+    zip_ = zstandard.ZstdCompressor(level=6).compress
     document = packed(pa.RecordBatch.from_arrays([part.column(0), pa.array([len(a) for a in at], pa.int64())], ["id", "n"]))
     yield pa.RecordBatch.from_arrays(
-        [pa.array([block]), pa.array([None], pa.int32()), pa.array([document], pa.binary()), pa.array([zip_(_planes(rank[flat]).tobytes())], pa.binary()), pa.array([zip_(_planes(bucket).tobytes())], pa.binary()), pa.array([None], pa.binary())],
+        [pa.array([block]), pa.array([None], pa.int32()), pa.array([document], pa.binary()), pa.array([_squeeze(rank[flat])], pa.binary()), pa.array([_squeeze(bucket)], pa.binary()), pa.array([None], pa.binary())],
         ["block", "bucket", "documents", "positions", "buckets", "words"],
     )
     order = np.argsort(bucket, kind="stable")
@@ -131,11 +148,12 @@ def _split_block(part: pa.RecordBatch, words: WordSplitter, block: int, n: int)
     yield pa.RecordBatch.from_arrays([pa.array([block] * len(own), pa.int64()), pa.array(own, pa.int32()), none, none, none, pa.array(groups, pa.binary())], ["block", "bucket", "documents", "positions", "buckets", "words"])
 
 
-def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, decoded: bool = False) -> DataFrame:
     """``id_col`` and ``ids`` (array of int): what the tokenizers library gives with add_special_tokens=False.
 
     Null texts count as empty and have no ids; null ids and repeated rows stay; an empty table gives an
-    empty one; other columns aren't read. ``path`` is a tokenizer file that all executors have.
+    empty one; other columns aren't read. decoded: adds the column of ``decode``, whose pieces are joined
+    once for each distinct word of a block instead of once for each id. ``path`` is a tokenizer file that all executors have.
     """
     path = path or default_path()
     n = buckets(docs.sparkSession)
@@ -153,7 +171,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
         """Each distinct word of the bucket once; its ids for every list that has it."""
         import zstandard
 
-        unzip, zip_, words = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=3).compress, splitter(path)
+        unzip, words = zstandard.ZstdDecompressor().decompress, splitter(path)
         seen = _Positions()
         at = [np.fromiter(map(seen.__getitem__, unzip(w).decode().split("\n")), np.int64) for w in rows["words"]]
         plain = [w for w in seen if w not in words.special]
@@ -168,7 +186,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
         for a in at:
             n_ids = sizes[a]
             spread = np.repeat(starts[a] - np.concatenate([[0], np.cumsum(n_ids)[:-1]]), n_ids) + np.arange(int(n_ids.sum()))
-            out.append((zip_(_planes(n_ids).tobytes()), zip_(_planes(flat[spread]).tobytes())))
+            out.append((_squeeze(n_ids), _squeeze(flat[spread])))
         return pd.DataFrame({"block": rows["block"].to_numpy(), "bucket": rows["bucket"].to_numpy(), "sizes": [o[0] for o in out], "ids": [o[1] for o in out]})
 
     lists = table.where("words IS NOT NULL").select("block", "bucket", "words")
@@ -177,35 +195,39 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     documents = table.where("documents IS NOT NULL").select("block", "documents", "positions", "buckets")
 
     def join_back(batches):
-        import zstandard
-
-        unzip = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for row in batch.to_pylist():
-                documents = unpacked(row["documents"])
-                position, bucket = _from_planes(unzip(row["positions"])), _from_planes(unzip(row["buckets"]))
-                order = np.argsort(bucket, kind="stable")
-                answers = sorted(row["answers"] or [], key=lambda a: a["bucket"])
-                empty = [np.zeros(0, np.uint32)]
-                sizes = np.concatenate([_from_planes(unzip(a["sizes"])) for a in answers] or empty).astype(np.int64)
-                flat = np.concatenate([_from_planes(unzip(a["ids"])) for a in answers] or empty).astype(np.int32)
-                starts = np.empty(len(bucket), np.int64)
-                size = np.empty(len(bucket), np.int64)
-                starts[order], size[order] = np.cumsum(sizes) - sizes, sizes
-                ends = np.concatenate([[0], np.cumsum(documents.column(1).to_numpy())])
-                at = 0
-                while at < documents.num_rows:  # some 2 million words at a time
-                    to = max(at + 1, int(np.searchsorted(ends, ends[at] + (1 << 20), side="right")) - 1)
-                    own = position[ends[at] : ends[to]]
-                    n_ids = size[own]
-                    before = np.concatenate([[0], np.cumsum(n_ids)])
-                    spread = np.repeat(starts[own] - before[:-1], n_ids) + np.arange(int(before[-1]))
-                    ids = pa.ListArray.from_arrays(pa.array(before[ends[at : to + 1] - ends[at]], pa.int32()), pa.array(flat[spread], pa.int32()))
-                    yield pa.RecordBatch.from_arrays([documents.column(0).slice(at, to - at), ids], ["id", "ids"])
-                    at = to
+        pieces = _pieces(path) if decoded else None
+        for row in (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(batch.num_rows)):
+            documents = unpacked(row["documents"])
+            position, bucket = _expand(row["positions"]), _expand(row["buckets"])
+            order = np.argsort(bucket, kind="stable")
+            answers = sorted(row["answers"] or [], key=lambda a: a["bucket"])
+            empty = [np.zeros(0, np.uint32)]
+            sizes = np.concatenate([_expand(a["sizes"]) for a in answers] or empty).astype(np.int64)
+            flat = np.concatenate([_expand(a["ids"]) for a in answers] or empty).astype(np.int32)
+            starts, size = np.empty(len(bucket), np.int64), np.empty(len(bucket), np.int64)
+            starts[order], size[order] = np.cumsum(sizes) - sizes, sizes
+            if decoded:
+                joined = [pieces[i] for i in flat.tolist()]
+                words = [" ".join(joined[a : a + n]) for a, n in zip(starts.tolist(), size.tolist(), strict=True)]
+                joined.clear()
+            ends = np.concatenate([[0], np.cumsum(documents.column(1).to_numpy())])
+            at = 0
+            while at < documents.num_rows:  # as many documents as have some 250,000 words
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + (1 << 18), side="right")) - 1)
+                own = position[ends[at] : ends[to]]
+                n_ids = size[own]
+                before = np.concatenate([[0], np.cumsum(n_ids)])
+                spread = np.repeat(starts[own] - before[:-1], n_ids) + np.arange(int(before[-1]))
+                cuts = ends[at : to + 1] - ends[at]
+                out = [documents.column(0).slice(at, to - at), pa.ListArray.from_arrays(pa.array(before[cuts], pa.int32()), pa.array(flat[spread], pa.int32()))]
+                if decoded:
+                    own = own.tolist()
+                    out.append(pa.array([" ".join(map(words.__getitem__, own[a:b])) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, ["id", "ids", "decoded"][: len(out)])
+                at = to
 
     joined = documents.join(answers, "block", "left").select("documents", "positions", "buckets", "answers")
-    return joined.mapInArrow(join_back, "id long, ids array<int>").withColumnRenamed("id", id_col)
+    return joined.mapInArrow(join_back, "id long, ids array<int>" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
 
 
 @lru_cache(2)

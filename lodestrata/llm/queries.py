@@ -54,7 +54,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text decoded from them."""
-    found = bpe.decode(bpe.encode(_documents(spark, sf_dir)))
+    found = bpe.encode(_documents(spark, sf_dir), decoded=True)
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

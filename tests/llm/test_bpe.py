@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -16,7 +17,8 @@ def test_round_trip_matches_library(spark, make_docs, odd_texts, library):
     texts = [*odd_texts, "It's WE'LL don't 'S", "á ÅÅ KK ẞ", "x\x1cy\x85z\xa0w v", "½²³ªºµ٣٤ Ⅷ", "<|endoftext|><|ENDOFTEXT|>", "İI ΑΣ Σ", "éè", "🙂🙂 ok"]
     for size in (bpe.BLOCK_BYTES, 500):
         found = {r["doc_id"]: r for r in bpe.decode(bpe.encode(make_docs(texts), block_bytes=size)).collect()}
-        assert len(found) == len(texts)
+        both = {r["doc_id"]: r for r in bpe.encode(make_docs(texts), block_bytes=size, decoded=True).collect()}
+        assert len(found) == len(texts) and both == found
         for i, text in enumerate(texts):
             ids = library.encode(text or "", add_special_tokens=False).ids
             assert found[i]["ids"] == ids, text[:80] if text else text
@@ -33,6 +35,14 @@ def test_splitting_equals_the_library_on_checked_characters(library):
         assert ids == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_squeezed_values():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 1000):
+        for top in (1, 256, 70_000, 1 << 32):
+            values = rng.integers(0, top, n).astype(np.uint32)
+            assert (bpe._expand(bpe._squeeze(values)) == values).all()
+
+
 def test_query_digests(spark, make_docs, tmp_path, library):
     texts = ["the cat 9", None, ""]
     make_docs(texts).write.parquet(f"{tmp_path}/documents.parquet")
