@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, gif_media, line_dedup, secret_scan, shuffle_shards, simhash, substring_dedup, token_blocks
+from . import bpe, decontaminate, gif_media, line_dedup, secret_scan, shuffle_shards, simhash, substring_dedup, token_blocks, toxicity
 from .storage import written, written_path
 
 
@@ -26,6 +26,16 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document from its nearest labelled examples."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, toxicity.training_rows(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    found = toxicity.score(docs, model)
+    held_out = F.coalesce(F.crc32(F.col("record.doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    evidence = F.concat_ws(",", F.transform("evidence", lambda e: F.concat_ws(":", e["doc_id"].cast("string"), F.format_number(e["cosine"], 4))))
+    return found.select("record.doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), evidence.alias("evidence"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that stand earlier, deleted in runs."""
     found = line_dedup.deduplicated(_documents(spark, sf_dir).select("doc_id", "text"))
@@ -103,7 +113,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     """Every query of the subpackage by its registered name."""
-    return {f.__name__: f for f in (op1_secret_scan, op3_line_dedup, op4_token_blocks, op5_decontaminate, op6_bpe, op7_gif_media, op8_substring_dedup, op9_shuffle_shards, op10_simhash)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_line_dedup, op4_token_blocks, op5_decontaminate, op6_bpe, op7_gif_media, op8_substring_dedup, op9_shuffle_shards, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
