@@ -1,11 +1,12 @@
 """Token ids as files of patched frame-of-reference blocks.
 
-Documents are range-partitioned by id, encoded, each closed with the end id, and cut into segments of
-about a million ids. A segment's ids are split into blocks of 256. Of each block the minimum is
+Documents are range-partitioned by id, encoded, each closed with the end id, and cut into segments
+of some 260,000 ids. A segment's ids are split into blocks of 256. Of each block the minimum is
 subtracted and the rest packed at the width that a percentile of its values needs; values that need
 more bits keep their low bits there and put the others on the exception list. Block starts are
 indexed, so one block can be read alone. Segments are rows of a Parquet table (the path may be any
-store that Spark writes): ``part``, ``segment``, counts, and the segment's bytes.
+store that Spark writes): ``part`` (the task), ``segment``, ``within`` (ids before it in its part), counts
+and the segment's bytes.
 
 Segment layout, little-endian: magic, documents, ids, blocks, exceptions, bytes of an id; document ids
 (int64), their null marks (uint8), their lengths (uint32); block minima (uint32), widths (uint8),
@@ -15,12 +16,8 @@ high bits (uint32).
 
 from __future__ import annotations
 
-import json
-import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BLOCK, PERCENTILE, SEGMENT_IDS, END_ID = 256, 0.95, 1 << 20, 2
-CACHED_WORDS, CHUNK_CHARS = 250_000, 1 << 19
+from .blocks import cut_rows
+from .bytewords import encoder
+from .wordspans import utf8
+
+BLOCK, PERCENTILE, SEGMENT_IDS, END_ID = 256, 0.95, 1 << 18, 2
+PART_BYTES = 1 << 19
 MAGIC = b"LSPF0001"
 _HEAD = struct.Struct("<8sQQQQ")
-# The characters for which the pattern below is known to equal the tokenizer's, and of them the letters.
-LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-PLAIN = "\t\n\r\x20-\x7e¡-©«-±´¶-¸»¿-ÿ–—‘’“”…"
-
 
 def default_path() -> str:
     import public_tokenizers
@@ -43,62 +40,6 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class TextEncoder:
-    """Ids of whole texts by the tokenizers library, through a bounded cache of words."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        spec = json.load(open(path, encoding="utf-8"))
-        before = spec["pre_tokenizer"]
-        self._known = spec["normalizer"] is None and before["type"] == "ByteLevel" and not before["add_prefix_space"] and before["use_regex"] and not any(a["normalized"] or a["single_word"] or a["lstrip"] or a["rstrip"] for a in spec["added_tokens"])
-        self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self._special = {a["content"]: np.array([a["id"]], self.kind).tobytes() for a in spec["added_tokens"]}
-        self._cut = re.compile("(%s)" % "|".join(map(re.escape, self._special)))
-        self._plain = re.compile(f"[{PLAIN}]*")
-        self._words = re.compile(f" ?[{LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^\\s{LETTERS}0-9]+|\\s+(?!\\S)|\\s+")
-        self._cache: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}  # the cache before it last grew too large
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes of ``kind``."""
-        cache, split = self._cache, [self._split(t) for t in texts]
-        if len(cache) > CACHED_WORDS:
-            self._older, self._cache = cache, (cache := {})
-        words = set()
-        for s in split:
-            if s is not None:
-                words.update(s)
-        new, older = [], self._older
-        for w in words:
-            if w not in cache:
-                if (known := older.get(w)) is None:
-                    new.append(w)
-                else:
-                    cache[w] = known
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            cache[w] = np.array(e.ids, self.kind).tobytes()
-        return [b"".join(map(cache.__getitem__, s)) if s is not None else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.kind).tobytes() for s, t in zip(split, texts, strict=True)]
-
-    def _split(self, text: str) -> list[str] | None:
-        """The text's words; None if the library itself must split it."""
-        if not self._known or not self._plain.fullmatch(text):
-            return None
-        if "<" in text and self._special:
-            parts = self._cut.split(text)
-            if len(parts) > 1:
-                return list(chain.from_iterable([p] if i % 2 else self._words.findall(p) for i, p in enumerate(parts)))
-        return self._words.findall(text)
-
-
-@lru_cache(2)
-def encoder(path: str) -> TextEncoder:
-    return TextEncoder(path)
-
-
 def _bit_width(values: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.uint8)
 
@@ -190,6 +131,9 @@ def read_block(data: bytes, number: int) -> np.ndarray:
     return unpack_blocks(parts, min(BLOCK, n_ids - number * BLOCK))
 
 
+_TABLE = "part int, segment int, within long, n_docs long, n_ids long, data binary"
+
+
 def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, percentile: float = PERCENTILE, segment_ids: int = SEGMENT_IDS) -> None:
     """Encodes whole texts, each followed by ``end_id``, and writes them to ``out`` in ascending id order.
 
@@ -202,56 +146,36 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str
     dealt = picked.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        code, part, number = encoder(path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], code.kind).tobytes()
-        ids, parts = [], []
+        code, part, number, within = encoder(path), TaskContext.get().partitionId(), 0, 0
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            nonlocal number
-            flat = np.frombuffer(b"".join(parts), code.kind)
-            lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // code.kind.itemsize
-            data = segment_bytes(np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids]), lengths, flat, percentile)
-            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([len(ids)]), pa.array([len(flat)]), pa.array([data], pa.binary())], ["part", "segment", "n_docs", "n_ids", "data"])
-            ids.clear()
-            parts.clear()
-            number += 1
+            nonlocal number, within
+            doc_ids, lengths, flat = pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            data = segment_bytes(doc_ids.fill_null(0).to_numpy(), doc_ids.is_null().to_numpy(zero_copy_only=False), lengths, flat, percentile)
+            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([within]), pa.array([len(lengths)]), pa.array([len(flat)]), pa.array([data], pa.binary())], ["part", "segment", "within", "n_docs", "n_ids", "data"])
+            held.clear()
+            number, within = number + 1, within + len(flat)
             return row
 
-        held, texts, chars = 0, [], 0
-
-        def add() -> int:
-            nonlocal chars
-            found = [x + end for x in code.encode(texts)]
-            texts.clear()
-            chars = 0
-            parts.extend(found)
-            return sum(map(len, found)) // code.kind.itemsize
-
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids.append(doc)
-                texts.append(text.as_py())
-                chars += len(texts[-1])
-                if chars >= CHUNK_CHARS or len(texts) >= 4096:
-                    held += add()
-                if held >= segment_ids and not texts:
+            for rows in cut_rows(batch, 1, PART_BYTES):
+                ids, counts = code.encode(*utf8(rows.column(1)))
+                held.append((rows.column(0), counts + 1, np.insert(ids, np.cumsum(counts), end_id)))
+                if sum(len(h[2]) for h in held) >= segment_ids:
                     yield flush()
-                    held = 0
-        if texts:
-            add()
-        if ids:
+        if held:
             yield flush()
 
-    dealt.mapInArrow(run, "part int, segment int, n_docs long, n_ids long, data binary").write.option("compression", "none").parquet(out)
+    dealt.mapInArrow(run, _TABLE).write.option("compression", "none").parquet(out)
 
 
 def read_tokens(spark: SparkSession, out: str, id_name: str = "doc_id") -> DataFrame:
     """``id_name``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit) from the files."""
-    table = spark.read.schema("part int, segment int, n_docs long, n_ids long, data binary").parquet(out)
-    parts = table.groupBy("part").agg(F.sum("n_ids").alias("n"))  # a row for each writing task
+    table = spark.read.schema(_TABLE).parquet(out)
+    parts = table.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    segments = table.select("part", "segment", "n_ids").withColumn("within", F.sum("n_ids").over(Window.partitionBy("part").orderBy("segment")) - F.col("n_ids"))
-    starts = segments.join(before, "part").select("part", "segment", (F.col("before") + F.col("within")).alias("start"))
+    starts = table.join(F.broadcast(before), "part").select((F.col("before") + F.col("within")).alias("start"), "data")  # a row for each task that wrote
 
     def run(batches):
         for batch in batches:
@@ -264,4 +188,4 @@ def read_tokens(spark: SparkSession, out: str, id_name: str = "doc_id") -> DataF
                     ["id", "start", "n_tokens", "ids"],
                 )
 
-    return table.select("part", "segment", "data").join(starts, ["part", "segment"]).select("start", "data").mapInArrow(run, "id long, start long, n_tokens long, ids binary").withColumnRenamed("id", id_name)
+    return starts.mapInArrow(run, "id long, start long, n_tokens long, ids binary").withColumnRenamed("id", id_name)

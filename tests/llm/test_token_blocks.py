@@ -2,10 +2,13 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from lodestrata.llm import queries, token_blocks as tb
+from lodestrata.llm import bytewords, queries
+from lodestrata.llm import token_blocks as tb
+from lodestrata.llm.wordspans import utf8
 
 
 @pytest.fixture(scope="module")
@@ -32,12 +35,22 @@ def test_outliers_go_to_exceptions():
     assert parts["width"][0] == 0 and parts["exceptions"][0] == 2 and parts["positions"].tolist() == [3, 200]
 
 
-def test_splitting_equals_the_library_on_checked_characters(library):
-    code = tb.encoder(tb.default_path())
-    plain = [c for c in map(chr, range(0x2100)) if code._plain.fullmatch(c)]
-    rng = random.Random(0)
-    texts = ["".join(rng.choice(plain) if rng.random() < 0.5 else rng.choice("ab's 't9 \n  ") for _ in range(80)) for _ in range(400)]
-    assert [np.frombuffer(x, code.kind).tolist() for x in code.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+def test_words_equal_the_library(library):
+    code = bytewords.ByteEncoder(tb.default_path(), cached_words=500)
+    plain = [c for c in map(chr, range(0x2100)) if (bytewords.classes(np.frombuffer(c.encode(), np.uint8)) != bytewords._BAD).all()]
+    parts = ["a", "b", "'s", "'t", "'ll", "'re ", " 've", "'", "''", "l", "9", "12", "\n", "  ", "\n ", "\t", "é", "!", "’", "x", "日", "<|endoftext|>", "<"]
+    for seed in range(600):
+        rng = random.Random(seed)
+        texts = ["".join(rng.choice(plain) if rng.random() < 0.3 else rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(rng.randint(1, 6))]
+        ids, counts = code.encode(*utf8(pa.array([*texts, None])))
+        found = [x.tolist() for x in np.split(ids, np.cumsum(counts))]
+        assert found == [*(library.encode(t, add_special_tokens=False).ids for t in texts), [], []]
+
+
+def test_very_long_text(library):
+    text = "lorem's ipsum \n" * 200_000
+    ids, counts = bytewords.encoder(tb.default_path()).encode(*utf8(pa.array(["a", text, "b"])))
+    assert ids[1:-1].tolist() == library.encode(text, add_special_tokens=False).ids and counts.sum() == len(ids)
 
 
 def test_query(spark, make_docs, odd_texts, tmp_path, library):
