@@ -75,7 +75,8 @@ def final_score(response: Column, tail: int = 60, highest: int = 5) -> Column:
     first = F.regexp_extract(end, r"[Ff]inal\s+[Ss]core\s*:\s*([0-9])", 1).try_cast("int")
     loose = F.regexp_extract(F.upper(end), r"SCORE\s*[:=-]\s*([0-9])", 1).try_cast("int")
     refused = F.upper(end).rlike("NOT (A )?REASONABLE")
-    return F.coalesce(F.least(first, F.lit(highest)), F.least(loose, F.lit(highest)), F.when(refused, 0), F.lit(-1))
+    found = F.coalesce(first, loose, F.when(refused, 0))
+    return F.when(found.isNull(), -1).otherwise(F.least(found, F.lit(highest)))
 
 
 def yes_no_tail(response: Column, tail: int = 10) -> Column:
