@@ -86,11 +86,18 @@ def yes_no_tail(response: Column, tail: int = 10) -> Column:
     return F.when(has("YES!"), 1.0).when(has("NO!"), 0.0).when(has("YES"), 1.0).when(has("NO"), 0.0).otherwise(-1.0)
 
 
-def quote_found(quote: Column, source: Column) -> Column:
-    """Whether a quote stands in the source, ignoring case and runs of blanks; pieces around '...' must follow in order."""
-    tidy = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
-    pieces = F.filter(F.transform(F.split(F.coalesce(quote, F.lit("")), r"\.\.\.|…"), tidy), lambda p: p != "")
-    text = tidy(F.coalesce(source, F.lit("")))
+def tidy(value: Column) -> Column:
+    """Lower case, runs of white space as one blank, none at the ends; a null is empty."""
+    return F.lower(F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), r"\s+", " ")))
+
+
+def quote_pieces(quote: Column) -> Column:
+    """The tidy pieces of a quote around '...', empty ones left out."""
+    return F.filter(F.transform(F.split(F.coalesce(quote, F.lit("")), r"\.\.\.|…"), tidy), lambda p: p != "")
+
+
+def pieces_found(pieces: Column, text: Column) -> Column:
+    """Whether all pieces (at least one) stand in a tidy text, in order and without overlap."""
 
     def after(at: Column, piece: Column) -> Column:  # where to go on; 0 once a piece is missing
         found = F.position(piece, text, at)
@@ -99,6 +106,11 @@ def quote_found(quote: Column, source: Column) -> Column:
     return (F.size(pieces) > 0) & (F.aggregate(pieces, F.lit(1), after) > 0)
 
 
+def quote_found(quote: Column, source: Column) -> Column:
+    """Whether a quote stands in the source, ignoring case and runs of blanks; pieces around '...' must follow in order."""
+    return pieces_found(quote_pieces(quote), tidy(source))
+
+
 def words(text: Column) -> Column:
     """Runs of letters, digits and underscores, in lower case."""
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))

@@ -238,13 +238,13 @@ f AS (SELECT *, last_value(v IGNORE NULLS) OVER b AS v0, last_value(CASE WHEN v
   WINDOW b AS (PARTITION BY user_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY user_id ORDER BY n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 i AS (SELECT user_id, event_id, n, CASE WHEN v0 IS NULL THEN v1 WHEN v1 IS NULL OR x1 = x0 THEN v0 ELSE v0 + (v1 - v0) * (n - x0) / (x1 - x0) END AS x FROM f),
 o AS (SELECT *, CAST(floor(x * 10) AS BIGINT) AS o FROM i)
-SELECT user_id, event_id, round(x, 4) AS value, max(o - n) OVER (PARTITION BY user_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + n AS day_offset FROM o""")
+SELECT user_id, event_id, x AS value, max(o - n) OVER (PARTITION BY user_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + n AS day_offset FROM o""")
 def fabricated_dates(spark, sf_dir):
     """Values known for a third of the events, interpolated, as day offsets that rise by one at least."""
     number = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
     rows = table(spark, sf_dir, "events").where("value IS NOT NULL").select("user_id", "event_id", number.alias("n"), F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("v"))
     filled = windows.with_interpolated(rows, ["user_id"], "n", "v", "x").withColumn("o", F.floor(F.col("x") * 10).cast("long"))
-    return filled.select("user_id", "event_id", F.round("x", 4).alias("value"), windows.monotone_offsets(F.col("o"), ["user_id"], [F.col("n")]).alias("day_offset"))
+    return filled.select("user_id", "event_id", F.col("x").alias("value"), windows.monotone_offsets(F.col("o"), ["user_id"], [F.col("n")]).alias("day_offset"))
 
 
 @query("SELECT user_id, count(*) AS n_breaks FROM (SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM events) WHERE value < p GROUP BY user_id")

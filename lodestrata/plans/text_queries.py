@@ -44,9 +44,11 @@ def response_parsers(spark, sf_dir):
 SELECT item_id, count(*) FILTER (WHERE contains(trim(lower(regexp_replace(d.text, '\\s+', ' ', 'g'))), trim(lower(regexp_replace(b.text, '\\s+', ' ', 'g'))))) AS n_documents FROM benchmark b, documents d GROUP BY item_id""")
 def quote_grounding(spark, sf_dir):
     """In how many documents each benchmark text is quoted; the benchmark is small, and one row a document is made of it."""
-    items = F.broadcast(table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote")))
-    found = items.join(table(spark, sf_dir, "documents").select("text"), text.quote_found(F.col("quote"), F.col("text")), "left")
-    return found.groupBy("item_id").agg(F.count("text").alias("n_documents"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", text.quote_pieces(F.col("text")).alias("pieces"))
+    docs = table(spark, sf_dir, "documents").select(text.tidy(F.col("text")).alias("tidy"))
+    found = items.join(docs, text.pieces_found(F.col("pieces"), F.col("tidy")))
+    counts = found.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents"))
+    return items.select("item_id").join(counts, "item_id", "left").select("item_id", F.coalesce("n_documents", F.lit(0)).cast("long").alias("n_documents"))
 
 
 @query("""
