@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .blocks import block_ids, buckets, cut_rows, packed, unpacked
 from .storage import written
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 # The characters for which the patterns are known to agree, and of them the letters.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = "\t\n\r\x20-\x7e¡-©«-±´¶-¸»¿-ÿ–—‘’“”…"
@@ -128,17 +128,20 @@ def _split_block(part: pa.RecordBatch, words: WordSplitter, block: int, n: int)
 
     seen = _Positions()
     at = [np.fromiter(map(seen.__getitem__, words.split(t.as_py())), np.int64) for t in part.column(1)]
-    flat = np.concatenate(at)
-    often = np.argsort(-np.bincount(flat, minlength=len(seen)), kind="stable")  # frequent words get small positions
-    rank = np.empty(len(seen), np.int64)
-    rank[often] = np.arange(len(seen))
-    listed = list(seen)
+    flat, listed = np.concatenate(at), list(seen)
+    at = [len(a) for a in at]
+    seen.clear()
+    # frequent words get small positions; equally frequent ones, mostly seen once, are listed by spelling and compress better
+    spelled = np.array(sorted(range(len(listed)), key=listed.__getitem__), np.int64)
+    often = spelled[np.argsort(-np.bincount(flat, minlength=len(listed))[spelled], kind="stable")]
+    rank = np.empty(len(listed), np.uint32)
+    rank[often] = np.arange(len(listed))
     listed = [listed[i] for i in often.tolist()]
     bucket = np.fromiter((zlib.crc32(w.encode()) % n for w in listed), np.int64, len(listed))
     zip_ = zstandard.ZstdCompressor(level=6).compress
-    document = packed(pa.RecordBatch.from_arrays([part.column(0), pa.array([len(a) for a in at], pa.int64())], ["id", "n"]))
+    document = packed(pa.RecordBatch.from_arrays([part.column(0), pa.array(at, pa.int64())], ["id", "n"]))
     yield pa.RecordBatch.from_arrays(
-        [pa.array([block]), pa.array([None], pa.int32()), pa.array([document], pa.binary()), pa.array([_squeeze(rank[flat])], pa.binary()), pa.array([_squeeze(bucket)], pa.binary()), pa.array([None], pa.binary())],
+        [pa.array([block]), pa.array([None], pa.int32()), pa.array([document], pa.binary()), pa.array([_squeeze(rank[flat], 6)], pa.binary()), pa.array([_squeeze(bucket)], pa.binary()), pa.array([None], pa.binary())],
         ["block", "bucket", "documents", "positions", "buckets", "words"],
     )
     order = np.argsort(bucket, kind="stable")
