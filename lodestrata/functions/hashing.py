@@ -33,3 +33,41 @@ def pair_hash(*parts) -> Column:
 def split_of(fraction: Column, train: float = 0.8, validation: float = 0.1) -> Column:
     """train, val or test by a draw in [0, 1)."""
     return F.when(fraction < train, "train").when(fraction < train + validation, "val").otherwise("test")
+
+
+def blake_fraction(*parts: Column) -> Column:
+    """A draw in [0, 1) from the 64-bit BLAKE2b of the parts, joined by NUL (for tables drawn that way elsewhere)."""
+    import hashlib
+
+    import pandas as pd
+
+    @F.pandas_udf("double")
+    def run(joined: pd.Series) -> pd.Series:
+        return joined.map(lambda x: None if x is None else int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big") / 2**64).astype("float64")
+
+    return run(F.concat_ws("\x00", *(p.cast("string") for p in parts)))
+
+
+def name_uuid(namespace: str, *parts: Column) -> Column:
+    """Version 5 UUIDs of the parts, joined by colons, under a namespace UUID."""
+    import uuid
+
+    import pandas as pd
+
+    space = uuid.UUID(namespace)
+
+    @F.pandas_udf("string")
+    def run(joined: pd.Series) -> pd.Series:
+        return joined.map(lambda x: str(uuid.uuid5(space, x)))
+
+    return run(F.concat_ws(":", *(p.cast("string") for p in parts)))
+
+
+def stepped_dates(start: Column, low: int, high: int, partition: list[str], order: list, *seed) -> Column:
+    """Dates that begin at ``start`` and go on by hash-drawn gaps of low..high days."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(*partition).orderBy(*order)
+    gap = (F.floor(hash_fraction(*seed) * (high - low + 1)) + low).cast("int")
+    counted = F.when(F.row_number().over(w) == 1, 0).otherwise(gap)
+    return F.date_add(start, F.sum(counted).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int"))

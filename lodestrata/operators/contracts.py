@@ -135,3 +135,50 @@ def numbered_set_violations(frame: DataFrame, group: Sequence[str], number: str,
     }
     broken = F.filter(F.array(*(F.when(F.coalesce(c, F.lit(True)), F.lit(name)) for name, c in rules.items())), lambda x: x.isNotNull())
     return facts.select(*group, F.explode(broken).alias("rule"))
+
+
+# The phases and the type of studies that count.
+PHASES = ("EARLY_PHASE1", "PHASE1", "PHASE2", "PHASE3", "PHASE4")
+STUDY_TYPE = "INTERVENTIONAL"
+
+
+def eligible_studies(frame: DataFrame, key: str, posted: str, study_type: str, phases: str, start_year: int, *seed) -> DataFrame:
+    """Studies first posted from a year on, of the type and with only known phases (one at least), with an 80/10/10 split by hash.
+
+    A key with two different rows is an error; exact repeats count once.
+    """
+    from ..functions.dates import parse_day
+    from ..functions.hashing import hash_fraction, split_of
+    from .dedup import distinct_or_conflict
+
+    rows = distinct_or_conflict(frame, [key])
+    known = F.size(phases) > 0
+    kept = rows.where((F.year(parse_day(F.col(posted))) >= start_year) & (F.upper(study_type) == STUDY_TYPE) & known & F.forall(phases, lambda p: p.isin(*PHASES)))
+    return kept.withColumn("split", split_of(hash_fraction(*seed, F.col(key))))
+
+
+def crosscheck_run(sources: DataFrame, decisions: DataFrame, sets: DataFrame, key: str, accepted: str, expected: dict[str, int] | None = None) -> DataFrame:
+    """(problem, key) where a finished run's tables disagree.
+
+    Every source needs one decision and the reverse; accepted keys need rows in ``sets``, others none;
+    ``expected``: counts that a status file claims, by table name.
+    """
+    yes = decisions.where(accepted).select(key).distinct()
+    checks = {
+        "source without decision": missing_keys(sources, decisions, [key]),
+        "decision without source": missing_keys(decisions, sources, [key]),
+        "repeated decision": repeated_keys(decisions, [key]).select(key),
+        "accepted without rows": missing_keys(yes, sets, [key]),
+        "rows without acceptance": missing_keys(sets, yes, [key]),
+    }
+    found = [f.select(F.lit(name).alias("problem"), F.col(key).cast("string").alias("key")) for name, f in checks.items()]
+    for name, table in {"sources": sources, "decisions": decisions, "sets": sets}.items():
+        if expected and name in expected:
+            found.append(table.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") != expected[name]).select(F.lit(f"{name} count").alias("problem"), F.col("n").cast("string").alias("key")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def without(frame: DataFrame, excluded: DataFrame | None, key: str, group: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Rows whose key isn't excluded and whose group name doesn't match; a null group stays."""
+    out = frame if excluded is None else frame.join(excluded.select(key).distinct(), key, "left_anti")
+    return out if pattern is None else out.where(~F.coalesce(F.col(group).rlike(pattern), F.lit(False)))

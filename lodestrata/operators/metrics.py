@@ -222,3 +222,29 @@ def bootstrap(frame: DataFrame, unit: str, value: str, draws: int, seed: str, le
     picks = picks.select("draw", hash_partition(n, seed, F.col("draw"), F.col("pick")).alias("number")).groupBy("draw", "number").agg(F.count(F.lit(1)).alias("m"))
     means = picks.join(numbered, "number").groupBy("draw").agg(F.try_divide(F.sum(F.col("m") * F.col("s")), F.sum(F.col("m") * F.col("c"))).alias("mean")).where("mean IS NOT NULL")
     return means.agg(F.lit(n).alias("n_units"), F.count(F.lit(1)).alias("draws"), *(F.percentile("mean", p).alias(name) for p, name in zip(levels, ("low", "middle", "high"), strict=True)))
+
+
+def scenarios(hits: DataFrame, query: str, rank: str, relevant: str, score: str, k: int, least: float = 1.0) -> DataFrame:
+    """Mean average precision at ``k`` of three lists: as ranked, those scored at least ``least``, and these re-ranked by score. Queries without rows in a list don't count in it."""
+    kept = hits.where(F.col(score) >= least)
+    again = F.row_number().over(Window.partitionBy(query).orderBy(F.desc(score), rank))
+    lists = {"base": hits, "filter": kept, "rerank": kept.withColumn(rank, again)}
+    place = F.row_number().over(Window.partitionBy(query).orderBy(rank))
+    parts = [average_precision_at_k(f.withColumn("__at", place), [query], "__at", relevant, k).agg(F.avg("ap").alias("map"), F.count(F.lit(1)).alias("n_queries")).select(F.lit(name).alias("scenario"), "map", "n_queries") for name, f in lists.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def before_and_after(pairs: DataFrame, before: str, after: str, truth: str, least: float) -> DataFrame:
+    """Spearman with the truth and AUROC of truth >= least, for two scores of the same pairs."""
+    rows = pairs.withColumn("__y", F.col(truth) >= least)
+    parts = [spearman(rows, c, truth).join(auroc(rows, "__y", c)).select(F.lit(c).alias("scorer"), "spearman", "auroc") for c in (before, after)]
+    return parts[0].unionByName(parts[1])
+
+
+def masked_totals(frame: DataFrame, unit: str, counts: Sequence[str]) -> DataFrame:
+    """For each count column: its sum, the rows with any, and the distinct units with any."""
+    cells = F.array(*(F.struct(F.lit(c).alias("measure"), F.sum(c).alias("total"), F.count_if(F.col(c) > 0).alias("n_rows"), F.countDistinct(F.when(F.col(c) > 0, F.col(unit))).alias("n_units")) for c in counts))
+    return frame.agg(cells.alias("__c")).select(F.inline("__c"))
