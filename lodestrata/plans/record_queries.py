@@ -81,12 +81,12 @@ def prior_count_cutoff(spark, sf_dir):
 
 
 _WINDOWS = """
-WITH w AS (SELECT l_suppkey, min(l_shipdate)::DATE AS opened, CASE WHEN bool_or(l_returnflag = 'R' AND l_linenumber = 7) THEN NULL ELSE max(l_shipdate)::DATE END AS closed FROM lineitem WHERE l_suppkey % 5 = 0 GROUP BY l_suppkey)
+WITH w AS (SELECT l_suppkey, min(l_shipdate)::DATE AS opened, CASE WHEN bool_or(l_returnflag = 'R' AND l_linenumber = 7) THEN NULL ELSE max(l_shipdate)::DATE END AS closed FROM lineitem GROUP BY l_suppkey)
 """
 
 
 def _supplier_windows(spark, sf_dir):
-    rows = _lines(spark, sf_dir).where("l_suppkey % 5 = 0")
+    rows = _lines(spark, sf_dir)
     end = F.when(F.bool_or((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7)), F.lit(None)).otherwise(F.max("ship_day"))
     return rows.groupBy("l_suppkey").agg(F.min("ship_day").alias("opened"), end.alias("closed"))
 
@@ -101,10 +101,10 @@ def temporal_open_window(spark, sf_dir):
 
 
 @query(_WINDOWS + """SELECT o_orderkey, l_suppkey, CASE WHEN opened IS NULL OR closed IS NULL THEN NULL ELSE o_orderdate::DATE BETWEEN opened AND closed END AS in_window
-FROM orders JOIN w ON w.l_suppkey = o_custkey % 20 * 5""")
+FROM orders JOIN w ON w.l_suppkey = o_custkey % 100""")
 def window_flags(spark, sf_dir):
     """Three-valued: whether an order falls into its supplier's window, null if the window's end is unknown."""
-    orders = _orders(spark, sf_dir).withColumn("l_suppkey", F.col("o_custkey") % 20 * 5)
+    orders = _orders(spark, sf_dir).withColumn("l_suppkey", F.col("o_custkey") % 100)
     return orders.join(_supplier_windows(spark, sf_dir), "l_suppkey").select("o_orderkey", "l_suppkey", joins.window_flag(F.col("day"), F.col("opened"), F.col("closed")).alias("in_window"))
 
 
@@ -197,11 +197,11 @@ def version_choice(spark, sf_dir):
     return sampling.choose_version(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type"), "p_brand", "p_type", 2)
 
 
-@query("SELECT lang, source, min(doc_id) AS doc_id, count(*) AS n_rows FROM documents WHERE trim(lang) <> '' AND trim(source) <> '' AND (lang, source) NOT IN (SELECT lang, source FROM documents WHERE doc_id % 50 = 0) GROUP BY lang, source")
+@query("SELECT lang, source, min(doc_id) AS doc_id, count(*) AS n_rows FROM documents WHERE trim(lang) <> '' AND trim(source) <> '' AND (lang, source) NOT IN (SELECT lang, source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1) GROUP BY lang, source")
 def unique_combinations(spark, sf_dir):
     """Combinations of language and source not yet seen, with a representative and their number."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    return dedup.unique_combinations(docs, ["lang", "source"], ["doc_id"], docs.where("doc_id % 50 = 0").select("lang", "source").distinct())
+    return dedup.unique_combinations(docs, ["lang", "source"], ["doc_id"], docs.join(table(spark, sf_dir, "labels").where("toxic = 1"), "doc_id", "left_semi").select("lang", "source").distinct())
 
 
 @query("""
