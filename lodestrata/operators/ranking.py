@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 QUERY_BLOCK_BYTES = 32 << 20
 
 
@@ -55,9 +57,13 @@ def similar_top_k(queries: DataFrame, items: DataFrame, id_col: str, vector_col:
     spark = items.sparkSession
     shape = lambda f: f.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), (F.col(block_by).cast("string") if block_by else F.lit("")).alias("key"), F.col(vector_col).cast("array<double>").alias("vector"))
     queries, items = shape(queries), shape(items)
+    order, done = [F.desc("score"), F.asc("item_id")], []
     first = queries.select(F.size("vector").alias("n")).first()
-    out = spark.createDataFrame([], "query_id long, item_id long, score double")
+    found = None
     for ids, keys, matrix in _blocks(queries, first["n"] if first else 1, block_bytes):
+        if found is not None:  # another block: what the last one found is written, so one block is held at a time
+            done.append(written(top_k(found, ["query_id"], order, k).drop("rank"), "similar"))
+            sent.unpersist()
         sent = spark.sparkContext.broadcast((np.array(ids), np.array(keys, object), matrix))
 
         def run(batches, sent=sent):
@@ -73,13 +79,17 @@ def similar_top_k(queries: DataFrame, items: DataFrame, id_col: str, vector_col:
                 if not allow_self:
                     scores[ids[:, None] == own[None, :]] = -np.inf
                 scores[keys[:, None] != np.array(batch.column(1).to_pylist(), object)[None, :]] = -np.inf
-                order = np.lexsort((np.broadcast_to(own, scores.shape), -scores), axis=1)[:, :k]
-                best = np.take_along_axis(scores, order, 1)
+                first_k = np.lexsort((np.broadcast_to(own, scores.shape), -scores), axis=1)[:, :k]
+                best = np.take_along_axis(scores, first_k, 1)
                 keep = np.isfinite(best)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, keep.sum(1))), pa.array(own[order][keep]), pa.array(best[keep])], ["query_id", "item_id", "score"])
-
-        out = out.unionByName(items.mapInArrow(run, "query_id long, item_id long, score double"))
-    return top_k(out, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, keep.sum(1))), pa.array(own[first_k][keep]), pa.array(best[keep])], ["query_id", "item_id", "score"])
+
+        found = items.mapInArrow(run, "query_id long, item_id long, score double")
+    if found is None:
+        found = spark.createDataFrame([], "query_id long, item_id long, score double")
+    for part in done:
+        found = found.unionByName(part)
+    return top_k(found, ["query_id"], order, k)
 
 
 def merge_hits(hits: DataFrame, pair: Sequence[str], fields: Sequence[str]) -> DataFrame:
