@@ -260,7 +260,11 @@ FRAMES = "array<struct<number:int,left:int,top:int,width:int,height:int,delay_ms
 
 
 def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``n_bytes`` and ``media``: each whole text's UTF-8, padded with spaces, as a GIF. A null text counts as empty."""
+    """``id_col``, ``n_bytes`` and ``media``: each whole text's UTF-8, padded with spaces, as a GIF.
+
+    Null and empty texts become one row of spaces; null ids and repeated rows stay; long texts take as
+    many frames as they need; an empty table gives an empty one; other columns aren't read.
+    """
     picked = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
     def run(batches):
