@@ -34,9 +34,9 @@ def block_ids() -> Iterator[int]:
         at += 1
 
 
-def cut_rows(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with up to ``most`` bytes in a binary or text column; one row at least."""
-    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+def cut_rows(batch: pa.RecordBatch, column: int | pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with up to ``most`` bytes in a binary or text column (by place, or the column itself); one row at least."""
+    lengths = pc.binary_length(batch.column(column) if isinstance(column, int) else column).fill_null(0).to_numpy(zero_copy_only=False)
     ends, at = np.cumsum(lengths, dtype=np.int64), 0
     while at < len(ends):
         end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -273,11 +274,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     sent = docs.sparkSession.sparkContext.broadcast(model)
     shape = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("examples", pa.int64()), ("toxic", pa.int64())]))
 
+    place = docs.columns.index(text_col)
+
+    def texts_of(batch: pa.RecordBatch) -> pa.Array:
+        return pc.struct_field(batch.column(0), [place]).cast(pa.string())
+
     def run(batches):
         m, memo = sent.value, {}
-        for part in _parts(batches, 1):
+        for part in (p for batch in batches for p in cut_rows(batch, texts_of(batch), _PART_BYTES)):
             scores, why = [], []
-            for at, weight in m.vocabulary.vectors(part.column(1)):
+            for at, weight in m.vocabulary.vectors(texts_of(part)):
                 key = at.tobytes() + weight.tobytes()
                 if key not in memo:
                     if len(memo) > _MEMO:
@@ -289,8 +295,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 why.append(e)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64()), pa.array(why, shape)], ["record", "score", "evidence"])
 
-    shape_in = record.select("record", F.col("record")[text_col].cast("string").alias("text"))
-    return shape_in.mapInArrow(run, f"record {record.schema['record'].dataType.simpleString()}, score double, evidence {EVIDENCE}")
+    return record.mapInArrow(run, f"record {record.schema['record'].dataType.simpleString()}, score double, evidence {EVIDENCE}")
 
 
 def training_rows(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
