@@ -9,13 +9,14 @@ tokenizers library encodes those it lacks, each once.
 from __future__ import annotations
 
 import json
+import os
 from functools import lru_cache
 
 import numpy as np
 
 from .wordspans import SLICE_BYTES, hashed
 
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 2_000_000
 # Second and third bytes of the checked characters outside ASCII (C2 and E2 80: punctuation; C3: Latin letters but for two signs).
 C2_SIGNS = [*range(0xA1, 0xAA), *range(0xAB, 0xB2), 0xB4, 0xB6, 0xB7, 0xB8, 0xBB, 0xBF]
 E280_SIGNS = [0x93, 0x94, 0x98, 0x99, 0x9C, 0x9D, 0xA6]
@@ -122,6 +123,7 @@ class ByteEncoder:
     """Ids of the rows of an Arrow text column, as the library's encode with add_special_tokens=False."""
 
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
