@@ -14,6 +14,7 @@ normalised and split by the tokenizer itself.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -44,7 +45,8 @@ class WordSplitter:
     """A tokenizer file's special strings, normaliser and word rule; and the ids of single words."""
 
     def __init__(self, path: str):
-        from tokenizers import Regex, Tokenizer, normalizers
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer, self._single = Tokenizer.from_file(path), Tokenizer.from_file(path)
         for t in (self.tokenizer, self._single):  # unused here
@@ -59,7 +61,6 @@ class WordSplitter:
         self._plain = re.compile(f"[{PLAIN}]*")
         self._words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s{LETTERS}0-9]+")
         self._known = spec["normalizer"] == {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]} and spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-        del Regex
 
     def split(self, text: str) -> list[str]:
         """The words of a text, normalised; a special string is a word of its own."""
