@@ -1,13 +1,13 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
 Fitting: a bounded sample of labelled rows (``sample_rows``, by a hash of the id) gives the examples
-and, by a chi-square test of each term's document counts, the vocabulary (``max_terms`` at most). The
-document frequencies of its terms are counted over the whole corpus. Examples with equal vectors are
+and, by a chi-square test of each term's document counts, the vocabulary (``max_terms`` at most, whose
+share of toxic documents is ``min_lift`` times the base rate or more, or as much below it). The document frequencies of its terms are counted over the whole corpus. Examples with equal vectors are
 one entry with its counts of labels. Entries lie in blocks; for each term and block the greatest
 weight is kept, so a query skips every block whose bound can't reach its ``k``-th best cosine.
 
-Scoring: the ``k`` nearest entries vote for their label, weighted by 1 / (distance + ``SOFT``); a
-monotone curve fitted to the examples' own votes (each left out of its own) makes that a probability.
+Scoring: the ``k`` nearest entries vote for their label, weighted by cosine / (distance + ``SOFT``), so
+that a far neighbour alone decides nothing against the base rate; a monotone curve fitted to the examples' own votes (each left out of its own) makes that a probability.
 Neighbours are returned as evidence. All sizes of what is broadcast follow from the parameters.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .blocks import cut_rows
 from .wordspans import folded_bytes, utf8, word_hashes
 
-SAMPLE_ROWS, MAX_TERMS, MIN_CHI2, NEIGHBOURS = 20_000, 4096, 40.0, 25
+SAMPLE_ROWS, MAX_TERMS, MIN_CHI2, MIN_LIFT, NEIGHBOURS = 20_000, 4096, 40.0, 4.0, 25
 BLOCK, SOFT, PRIOR = 64, 0.05, 1.0
 _PART_BYTES, _MEMO = 4 << 20, 50_000
 
@@ -138,7 +138,7 @@ class Examples:
             n, toxic = self.blank[0] - (own is not None), self.blank[1] - label
             return (toxic + PRIOR * self.base) / (n + PRIOR), np.zeros(0, np.int64), np.zeros(0)
         found, cosine = self.nearest(at, weight, skip)
-        w = 1 / (np.maximum(0.0, 1 - cosine) + SOFT)
+        w = cosine / (np.maximum(0.0, 1 - cosine) + SOFT)
         n, toxic = self.n[found].astype(float), self.toxic[found].astype(float)
         if own:
             n[found == skip] -= 1
@@ -190,7 +190,7 @@ def _parts(batches, column: int):
         yield from cut_rows(batch, column, _PART_BYTES)
 
 
-def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS, min_chi2: float = MIN_CHI2, k: int = NEIGHBOURS) -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS, min_chi2: float = MIN_CHI2, min_lift: float = MIN_LIFT, k: int = NEIGHBOURS) -> Model:
     """The model from ``labelled`` (id and label 0/1; nulls are ignored, of several labels the largest holds)."""
     spark = docs.sparkSession
     labels = labelled.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("id").agg(F.max("label").alias("label"))
@@ -214,6 +214,8 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     gap = F.col("toxic") * F.lit(n) - F.col("n") * F.lit(toxic)
     spread = F.col("n") * (F.lit(n) - F.col("n")) * F.lit(toxic) * F.lit(n - toxic)
     picked = counts.withColumn("chi2", F.when(spread > 0, gap * gap * F.lit(n) / spread).otherwise(0.0)).where(F.col("chi2") >= min_chi2)
+    lift = F.col("toxic") * F.lit(n) / (F.col("n") * F.lit(max(toxic, 1.0)))
+    picked = picked.where((lift >= min_lift) | (lift <= 1 / min_lift))
     chosen = picked.orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect()  # max_terms at most
     terms = np.sort(np.array([r["term"] for r in chosen], np.int64).view(np.uint64))
     words = spark.sparkContext.broadcast(Vocabulary(terms, np.ones(len(terms))))
