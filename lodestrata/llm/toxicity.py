@@ -1,14 +1,16 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
 Fitting: a bounded sample of labelled rows (``sample_rows``, by a hash of the id) gives the examples
-and, by a chi-square test of each term's document counts, the vocabulary (``max_terms`` at most, whose
-share of toxic documents is ``min_lift`` times the base rate or more, or as much below it). The document frequencies of its terms are counted over the whole corpus. Examples with equal vectors are
-one entry with its counts of labels. Entries lie in blocks; for each term and block the greatest
-weight is kept, so a query skips every block whose bound can't reach its ``k``-th best cosine.
+and, by a chi-square test of each term's document counts, the vocabulary: ``max_terms`` at most, whose
+share of toxic documents is ``min_lift`` times the base rate or more, or as much below it. The document
+frequencies of its terms are counted over the whole corpus. Examples with equal vectors are one entry
+with its counts of labels. Entries lie in blocks; for each term and block the greatest weight is kept,
+so a query skips every block whose bound can't reach its ``k``-th best cosine.
 
 Scoring: the ``k`` nearest entries vote for their label, weighted by cosine / (distance + ``SOFT``), so
-that a far neighbour alone decides nothing against the base rate; a monotone curve fitted to the examples' own votes (each left out of its own) makes that a probability.
-Neighbours are returned as evidence. All sizes of what is broadcast follow from the parameters.
+that a far neighbour alone decides nothing against the base rate. A monotone curve fitted to the
+examples' own votes (each left out of its own) makes that a probability. Neighbours are returned as
+evidence. All sizes of what is broadcast follow from the parameters.
 """
 
 from __future__ import annotations

@@ -94,9 +94,12 @@ def _slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, i
                 gaps = np.flatnonzero(_space(data[at:cut]))
                 if len(gaps):
                     cut = at + int(gaps[-1]) + 1
-                else:  # one word longer than a slice: it goes on up to the next white space
-                    step = next((i for i in range(cut, last, SLICE_BYTES) if _space(data[i : i + SLICE_BYTES]).any()), None)
-                    cut = last if step is None else step + int(np.flatnonzero(_space(data[step : step + SLICE_BYTES]))[0])
+                else:  # one word longer than a slice: it goes on up to the next white space of its row
+                    while cut < last:
+                        gaps = np.flatnonzero(_space(data[cut : min(last, cut + SLICE_BYTES)]))
+                        cut = cut + int(gaps[0]) if len(gaps) else min(last, cut + SLICE_BYTES)
+                        if len(gaps):
+                            break
             yield row, row + 1, at, cut
             at = cut
         row += 1
