@@ -9,6 +9,7 @@ written table, never computed twice.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,23 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 4 << 20
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 16 MB, unless the session says otherwise: 10,000 long texts are too many for one."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
+def release_memory() -> None:
+    """Gives back what a worker holds for later: workers wait between tasks beside the JVM."""
+    import ctypes
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def buckets(spark: SparkSession) -> int:
     """Key buckets: as many as shuffle partitions, which are set by the size of the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

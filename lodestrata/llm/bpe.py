@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import block_ids, buckets, cut_rows, packed, unpacked
+from .blocks import block_ids, bounded_batches, buckets, cut_rows, packed, release_memory, unpacked
 from .storage import written
 
 BLOCK_BYTES = 16 << 20
@@ -160,6 +160,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     once for each distinct word of a block instead of once for each id. ``path`` is a tokenizer file that all executors have.
     """
     path = path or default_path()
+    bounded_batches(docs.sparkSession)
     n = buckets(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
@@ -168,6 +169,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
         for batch in batches:
             for part in cut_rows(batch, 1, block_bytes):
                 yield from _split_block(part, words, next(ids), n)
+        release_memory()
 
     table = written(picked.mapInArrow(split, "block long, bucket int, documents binary, positions binary, buckets binary, words binary"), "bpe-words")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import cut_rows
+from .blocks import bounded_batches, cut_rows, release_memory
 from .storage import written
 from .wordspans import folded_bytes, gram_hashes, utf8, word_hashes
 
@@ -131,6 +131,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     aren't read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.expr(f"CAST(array() AS {HITS})").alias("hits"))
     kind = dict(found.dtypes)["id"]
     hit = pa.list_(pa.struct([("item", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.list_(pa.struct([("doc_start", pa.int32()), ("item_start", pa.int32()), ("words", pa.int32())])))]))
@@ -154,6 +155,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", seed: int = SEED, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no benchmark item. Cases are those of ``benchmark_hits``."""
     kept = docs
+    bounded_batches(docs.sparkSession)
     for number, index in enumerate(_indexes(benchmark, item_col, "text", seed, block_bytes)):
         sent = docs.sparkSession.sparkContext.broadcast(index)
         if number:
@@ -167,6 +169,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
                     for r, *_ in _found(part.column(at), sent.value, coverage):
                         keep[r] = False
                     yield part.filter(pa.array(keep))
+            release_memory()
 
         kept = kept.mapInArrow(run, kept.schema)
     return kept

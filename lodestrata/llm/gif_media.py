@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import cut_rows
+from .blocks import bounded_batches, cut_rows
 
 COLUMNS, FRAME_ROWS, DELAY_CS, BINS = 192, 64, 4, 16
 PART_BYTES = 2 << 20
@@ -265,6 +265,7 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Null and empty texts become one row of spaces; null ids and repeated rows stay; long texts take as
     many frames as they need; an empty table gives an empty one; other columns aren't read.
     """
+    bounded_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
     def run(batches):
@@ -283,6 +284,7 @@ def media_columns(media: DataFrame, id_col: str = "doc_id", media_col: str = "me
     Null media give null frames and samples; bytes that are no whole GIF give an ``error`` and nulls.
     Repeated rows are decoded each for itself; other columns aren't read.
     """
+    bounded_batches(media.sparkSession)
     picked = media.select(F.col(id_col).alias("id"), F.col(media_col).alias("media"))
     names = ("number", "left", "top", "width", "height", "delay_ms", "disposal", "histogram")
     shape = pa.list_(pa.struct([(n, pa.list_(pa.int32()) if n == "histogram" else pa.int32()) for n in names]))

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import bounded_batches
+
 # The kinds and patterns of the query's contract, in the order in which ties are listed.
 BASE_KINDS = ("assign", "access", "hex")
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -107,6 +109,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Nulls: a null text has no spans; a null id is kept. Repeated rows are scanned each for itself; an
     empty table gives an empty one. Other columns of ``docs`` are not read, so their names can't clash.
     """
+    bounded_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = dict(picked.dtypes)["id"]
 

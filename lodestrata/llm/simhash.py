@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import bounded_batches, release_memory
 from .components import connected_components
 from .storage import written
 
@@ -47,12 +48,14 @@ def fingerprint_text(text: bytes, shingle: int = 4, seed: int = 42, step: int =
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
     """``id_col`` and ``fingerprint`` (the 64 bits as a signed long) of each row; a null text counts as empty."""
+    bounded_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
     def run(batches):
         for batch in batches:
             prints = np.fromiter((fingerprint_text(t.as_py(), shingle, seed) for t in batch.column(1)), np.uint64, len(batch))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["id", "fingerprint"])
+        release_memory()
 
     return picked.mapInArrow(run, f"id {dict(picked.dtypes)['id']}, fingerprint long").withColumnRenamed("id", id_col)
 

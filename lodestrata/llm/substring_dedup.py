@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_BYTES, buckets, pack_documents, unpacked
+from .blocks import BLOCK_BYTES, bounded_batches, buckets, pack_documents, unpacked
 from .storage import written
 from .wordspans import gram_hashes, utf8, window_minima, word_hashes
 
@@ -137,6 +137,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     other columns aren't read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     n, gram = buckets(spark), min(gram, window)
     blocks = written(pack_documents(docs, id_col, text_col, block_bytes), "substring-blocks")
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .blocks import cut_rows
+from .blocks import bounded_batches, cut_rows
 from .bytewords import encoder
 from .wordspans import utf8
 
@@ -141,6 +141,7 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str
     the order of a hash of their texts; an empty table gives an empty one; other columns aren't read.
     """
     path = path or default_path()
+    bounded_batches(docs.sparkSession)
     order = [F.col("id").asc_nulls_first(), F.col("tie")]
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     dealt = picked.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
@@ -172,6 +173,7 @@ def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str
 
 def read_tokens(spark: SparkSession, out: str, id_name: str = "doc_id") -> DataFrame:
     """``id_name``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit) from the files."""
+    bounded_batches(spark)
     table = spark.read.schema(_TABLE).parquet(out)
     parts = table.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import cut_rows
+from .blocks import bounded_batches, cut_rows, release_memory
 from .wordspans import folded_bytes, utf8, word_hashes
 
 SAMPLE_ROWS, MAX_TERMS, MIN_CHI2, MIN_LIFT, NEIGHBOURS = 20_000, 4096, 40.0, 4.0, 25
@@ -190,11 +190,13 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _parts(batches, column: int):
     for batch in batches:
         yield from cut_rows(batch, column, _PART_BYTES)
+    release_memory()
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS, min_chi2: float = MIN_CHI2, min_lift: float = MIN_LIFT, k: int = NEIGHBOURS) -> Model:
     """The model from ``labelled`` (id and label 0/1; nulls are ignored, of several labels the largest holds)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     labels = labelled.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("id").agg(F.max("label").alias("label"))
     sample = labels.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     sample = spark.createDataFrame(sample.collect(), "id long, label int")  # sample_rows at most
@@ -274,6 +276,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Null and empty texts score as the examples without known terms do. Nulls in other columns, repeated
     rows and extra columns are passed through; an empty table gives an empty one.
     """
+    bounded_batches(docs.sparkSession)
     record = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("record"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     shape = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("examples", pa.int64()), ("toxic", pa.int64())]))
@@ -298,6 +301,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 scores.append(s)
                 why.append(e)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64()), pa.array(why, shape)], ["record", "score", "evidence"])
+        memo.clear()
+        release_memory()
 
     return record.mapInArrow(run, f"record {record.schema['record'].dataType.simpleString()}, score double, evidence {EVIDENCE}")
 
