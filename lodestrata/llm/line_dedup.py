@@ -11,8 +11,8 @@ in its own. Longer repeated runs are chains of overlapping windows, so they go a
    each window's content is found by a minimum, so copies never meet as pairs.
 4. Windows that aren't first give the deleted lines, joined back to the texts by document.
 
-Hot lines: counts and minima are summed up before the shuffle, and the joins have one row for a key on
-one side, so Spark can split the other.
+Hot lines: counts and minima are summed up before the shuffle. The joins have one row for a key on one
+side; that side is written first, so both sides are plain exchanges and Spark can split the other one.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import written
+
 MIN_CHARS = 20
 
 
@@ -50,10 +52,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     windows = picked.select("id", F.xxhash64("text").alias("tie"), F.explode(_windows(F.split("text", "\n"), min_chars)).alias("w")).select("id", "tie", "w.line", "w.lines", "w.fp", "w.at", "w.content")
     selected = F.struct("id", "tie", "at")  # the same line can be the fingerprint of up to three windows
     repeated = windows.groupBy("fp").agg(F.min(selected).alias("low"), F.max(selected).alias("high")).where("NOT low <=> high").select("fp")
-    candidates = windows.join(repeated, "fp", "left_semi")
+    candidates = written(windows.join(written(repeated, "line-fingerprints"), "fp", "left_semi").drop("fp", "at"), "line-windows")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "tie", "line")
     first = candidates.groupBy("content", "lines").agg(F.min(place).alias("first"), F.max(place).alias("final")).where("NOT first <=> final").drop("final")
-    later = candidates.join(first, ["content", "lines"]).where(~place.eqNullSafe(F.col("first")))
+    later = candidates.join(written(first, "line-firsts"), ["content", "lines"]).where(~place.eqNullSafe(F.col("first")))
     spans = later.select("id", "tie", F.struct("line", "lines").alias("span"))
     gone = F.array_sort(F.array_distinct(F.flatten(F.transform(F.collect_set("span"), lambda s: F.sequence(s["line"], s["line"] + s["lines"] - 1)))))
     return spans.groupBy("id", "tie").agg(gone.alias("gone"))
