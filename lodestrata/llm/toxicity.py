@@ -1,8 +1,11 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
 Fitting: a bounded sample of labelled rows (``sample_rows``, by a hash of the id) gives the examples
-and, by a chi-square test of each term's document counts, the vocabulary: ``max_terms`` at most, whose
-share of toxic documents is ``min_lift`` times the base rate or more, or as much below it. The document
+and the vocabulary: terms whose odds of a toxic document, after ``PRIOR_ROWS`` more documents at the base
+rate, are ``min_odds`` times the odds of all rows or more, or as much below them; the ``max_terms``
+strongest at most. The rule looks at a term's own counts, not at how many rows are labelled, and odds
+have no ceiling at any base rate. TF-IDF weights are multiplied by the squared logarithm of that odds
+ratio, so a term seen once counts little beside a sure one. The document
 frequencies of its terms are counted over the whole corpus. Examples with equal vectors are one entry
 with its counts of labels. Entries lie in blocks; for each term and block the greatest weight is kept,
 so a query skips every block whose bound can't reach its ``k``-th best cosine.
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from .blocks import bounded_batches, cut_rows, release_memory
 from .wordspans import folded_bytes, utf8, word_hashes
 
-SAMPLE_ROWS, MAX_TERMS, MIN_CHI2, MIN_LIFT, NEIGHBOURS = 20_000, 4096, 40.0, 4.0, 25
+SAMPLE_ROWS, MAX_TERMS, MIN_ODDS, PRIOR_ROWS, NEIGHBOURS = 20_000, 4096, 4.0, 2.0, 25
 BLOCK, SOFT, PRIOR = 64, 0.05, 1.0
 _PART_BYTES, _MEMO = 4 << 20, 50_000
 
@@ -193,7 +196,7 @@ def _parts(batches, column: int):
     release_memory()
 
 
-def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS, min_chi2: float = MIN_CHI2, min_lift: float = MIN_LIFT, k: int = NEIGHBOURS) -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS, min_odds: float = MIN_ODDS, k: int = NEIGHBOURS) -> Model:
     """The model from ``labelled`` (id and label 0/1; nulls are ignored, of several labels the largest holds)."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -214,14 +217,12 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     total = examples.agg(F.count(F.lit(1)), F.sum("label")).first()
     n, toxic = float(total[0]), float(total[1] or 0)
     counts = examples.mapInArrow(count_terms, "term long, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    # chi-square of the table term x label
-    gap = F.col("toxic") * F.lit(n) - F.col("n") * F.lit(toxic)
-    spread = F.col("n") * (F.lit(n) - F.col("n")) * F.lit(toxic) * F.lit(n - toxic)
-    picked = counts.withColumn("chi2", F.when(spread > 0, gap * gap * F.lit(n) / spread).otherwise(0.0)).where(F.col("chi2") >= min_chi2)
-    lift = F.col("toxic") * F.lit(n) / (F.col("n") * F.lit(max(toxic, 1.0)))
-    picked = picked.where((lift >= min_lift) | (lift <= 1 / min_lift))
-    chosen = picked.orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect()  # max_terms at most
-    terms = np.sort(np.array([r["term"] for r in chosen], np.int64).view(np.uint64))
+    base = toxic / n if n else 0.0
+    odds = (F.col("toxic") + F.lit(PRIOR_ROWS * base)) / (F.col("n") - F.col("toxic") + F.lit(PRIOR_ROWS * (1 - base)))
+    strength = F.abs(F.log(odds * F.lit((1 - base) / base))) if 0 < base < 1 else F.lit(0.0)  # with one label nothing tells terms apart
+    picked = counts.withColumn("strength", strength).where(F.col("strength") >= float(np.log(min_odds)))
+    chosen = sorted((np.int64(r["term"]).view(np.uint64), r["strength"]) for r in picked.orderBy(F.desc("strength"), "term").limit(max_terms).collect())  # max_terms at most
+    terms, strength = np.array([t for t, _ in chosen], np.uint64), np.array([x for _, x in chosen], float)
     words = spark.sparkContext.broadcast(Vocabulary(terms, np.ones(len(terms))))
 
     def count_documents(batches):
@@ -237,7 +238,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     df = np.zeros(len(terms) + 1)
     for r in texts.mapInArrow(count_documents, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # a row a term
         df[r["at"]] = r["n"]
-    vocabulary = Vocabulary(terms, np.log((1 + df[-1]) / (1 + df[:-1])) + 1)
+    vocabulary = Vocabulary(terms, (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * strength**2)
     sent = spark.sparkContext.broadcast(vocabulary)
 
     def vectors(batches):
@@ -263,7 +264,8 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
         if memo not in cached:
             cached[memo] = index.vote(at, weight, memo)[0]
         votes[i] = cached[memo]
-    x, y = monotone(np.array(votes, float), np.array([r["label"] for r in rows], float))
+    rarer = int(min(toxic, n - toxic))  # bins that the rarer label can fill, or no score could pass 0.5
+    x, y = monotone(np.array(votes, float), np.array([r["label"] for r in rows], float), least=min(20, max(1, rarer // 2)))
     return Model(vocabulary, index, x, y)
 
 

@@ -100,3 +100,30 @@ def test_empty_tables(spark, make_docs):
     model = t.fit(make_docs(["a", None]), none)
     assert [r["score"] for r in t.score(make_docs(["a", None]), model).collect()] == [0.0, 0.0]
     assert t.score(make_docs([]), model).count() == 0
+
+
+def held_out(spark, make_docs, texts, labels):
+    """(toxic rows found, toxic rows, other rows marked, other rows) of the rows that nothing was learnt from."""
+    docs = make_docs(texts)
+    model = t.fit(docs, t.training_rows(spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")))
+    found = {r["record"]["doc_id"]: r["score"] >= 0.5 for r in t.score(docs, model, evidence=0).collect()}
+    held = [i for i in range(len(labels)) if zlib.crc32(str(i).encode()) % 5 == 0]
+    toxic = [i for i in held if labels[i]]
+    return sum(found[i] for i in toxic), len(toxic), sum(found[i] for i in held) - sum(found[i] for i in toxic), len(held) - len(toxic)
+
+
+def test_a_small_label_table_teaches(spark, make_docs):
+    clean = [f"plain text{i} about weather{i % 7} and sport{i % 5}" for i in range(30)]
+    texts = [f"{x} you vile scum" if i % 4 == 0 else x for i, x in enumerate(clean)]
+    model = t.fit(make_docs(texts), t.training_rows(spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(30)], "doc_id long, toxic int")))
+    assert len(model.vocabulary.terms)
+    docs = make_docs(["you vile scum", "a vile text99 about sport3", "plain text77 about weather1 and sport2"])
+    assert [r["score"] >= 0.5 for r in sorted(t.score(docs, model).collect(), key=lambda r: r["record"]["doc_id"])] == [True, True, False]
+
+
+def test_rare_toxic_words_count(spark, make_docs):
+    texts, labels = corpus(900, 3)
+    for i in (11, 22, 33):  # three of 900 rows have this word; all are toxic
+        texts[i], labels[i] = texts[i] + " grobian", 1
+    model = t.fit(make_docs(texts), spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int"))
+    assert int(t.terms_of(pa.array(["grobian"]))[1][0]) in model.vocabulary.terms.tolist()
