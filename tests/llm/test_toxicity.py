@@ -127,3 +127,13 @@ def test_rare_toxic_words_count(spark, make_docs):
         texts[i], labels[i] = texts[i] + " grobian", 1
     model = t.fit(make_docs(texts), spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int"))
     assert int(t.terms_of(pa.array(["grobian"]))[1][0]) in model.vocabulary.terms.tolist()
+
+
+def test_any_base_rate(spark, make_docs):
+    for rate in (0.3, 0.5):
+        rng = random.Random(0)
+        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(400)]
+        labels = [int(rng.random() < rate) for _ in range(600)]
+        texts = [" ".join([rng.choice(words) for _ in range(rng.randint(5, 60))] + rng.sample(BAD, 2) * y) for y in labels]
+        hits, toxic, false, others = held_out(spark, make_docs, texts, labels)
+        assert toxic > 20 and others > 20 and hits >= 0.95 * toxic and false <= 0.03 * others
