@@ -11,6 +11,12 @@ in its own. Longer repeated runs are chains of overlapping windows, so they go a
    each window's content is found by a minimum, so copies never meet as pairs.
 4. Windows that aren't first give the deleted lines, joined back to the texts by document.
 
+That is the rule of ``op3_line_dedup`` and its SQL. It has no window over three or more lines, so runs of
+short lines stay. With ``runs`` a line is deleted if it lies in any run of ``min_chars`` characters in
+all, of however many lines, that stands earlier. The windows are then the shortest ones from each line
+forwards and back from each line; those of a run cover all its lines, so nothing has to be extended: from
+a line on, the run has ``min_chars`` characters, or the shortest window that ends the run holds the line.
+
 Hot lines: counts and minima are summed up before the shuffle. The joins have one row for a key on one
 side; that side is written first, so both sides are plain exchanges and Spark can split the other one.
 """
@@ -25,6 +31,24 @@ from .storage import written
 MIN_CHARS = 20
 
 
+def _shortest(text: Column, min_chars: int) -> Column:
+    """The shortest window of ``min_chars`` characters from each line on; the last lines may have none."""
+    return F.regexp_extract_all(text, F.lit(f"(?dm)^(?=((?:\\n*+[^\\n]){{{min_chars}}}[^\\n]*+))"), F.lit(1))
+
+
+def _run_windows(text: Column, min_chars: int) -> Column:
+    """Like ``_windows``, of as many lines as ``min_chars`` characters need; the content is the fingerprint."""
+    n_lines = lambda w: F.char_length(w) - F.char_length(F.replace(w, F.lit("\n"), F.lit(""))) + 1
+    last = n_lines(text) - 1
+
+    def window(line: Column, lines: Column, content: Column) -> Column:
+        return F.struct(line.cast("int").alias("line"), lines.cast("int").alias("lines"), content.alias("fp"), line.cast("int").alias("at"), content.alias("content"))
+
+    ahead = F.transform(_shortest(text, min_chars), lambda w, i: window(i, n_lines(w), F.xxhash64(w)))
+    back = F.transform(_shortest(F.reverse(text), min_chars), lambda w, i: window(last - i - n_lines(w) + 1, n_lines(w), F.xxhash64(F.reverse(w))))
+    return F.array_distinct(F.concat(ahead, back))
+
+
 def _windows(lines: Column, min_chars: int) -> Column:
     """The windows of a document: first line, lines, fingerprint and hash of the content."""
     both = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), F.char_length(x).alias("n")))
@@ -46,10 +70,11 @@ def _windows(lines: Column, min_chars: int) -> Column:
     return F.filter(F.concat(singles, pairs), lambda w: w["chars"] >= min_chars)
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, runs: bool = False) -> DataFrame:
     """``id``, ``tie`` (hash of the text) and ``gone``: positions from 0 of the lines to delete, of documents that have some."""
     picked = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    windows = picked.select("id", F.xxhash64("text").alias("tie"), F.explode(_windows(F.split("text", "\n"), min_chars)).alias("w")).select("id", "tie", "w.line", "w.lines", "w.fp", "w.at", "w.content")
+    found = _run_windows(F.col("text"), max(1, min_chars)) if runs else _windows(F.split("text", "\n"), min_chars)
+    windows = picked.select("id", F.xxhash64("text").alias("tie"), F.explode(found).alias("w")).select("id", "tie", "w.line", "w.lines", "w.fp", "w.at", "w.content")
     selected = F.struct("id", "tie", "at")  # the same line can be the fingerprint of up to three windows
     repeated = windows.groupBy("fp").agg(F.min(selected).alias("low"), F.max(selected).alias("high")).where("NOT low <=> high").select("fp")
     candidates = written(windows.join(written(repeated, "line-fingerprints"), "fp", "left_semi").drop("fp", "at"), "line-windows")
@@ -61,18 +86,18 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return spans.groupBy("id", "tie").agg(gone.alias("gone"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, runs: bool = False) -> DataFrame:
     """``docs`` with all its columns, repeated lines deleted from the text, and ``n_lines`` and ``n_removed`` in ``line_dedup``.
 
     Rows are never dropped; a text may become empty. A null text has no lines and stays null. A null id
     comes after every other id. Rows that share an id are ordered by a hash of their texts; rows that
-    share both are one document and get the same result. Line identity is a 64-bit hash. An empty table
+    share both are one document and get the same result. ``runs``: repeated runs of any number of lines go. Line identity is a 64-bit hash. An empty table
     gives an empty one. ``line_dedup`` is the only name added; a column of that name is replaced.
     """
     text, kept = F.col("record")[text_col].cast("string"), F.col("lines")
     record = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("record"))
     keyed = record.select("record", F.col("record")[id_col].alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("tie"))
-    gone = repeated_lines(docs, id_col, text_col, min_chars).select(F.col("id").alias("gone_id"), F.col("tie").alias("gone_tie"), "gone")
+    gone = repeated_lines(docs, id_col, text_col, min_chars, runs).select(F.col("id").alias("gone_id"), F.col("tie").alias("gone_tie"), "gone")
     joined = keyed.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("tie") == F.col("gone_tie")), "left")
     joined = joined.select("record", "gone", F.split(text, "\n").alias("lines"))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")

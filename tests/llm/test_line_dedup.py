@@ -2,6 +2,7 @@ import random
 
 from oracle import duck_rows, spark_rows
 
+import corpus_pipeline
 from lodestrata.llm import line_dedup, queries
 
 
@@ -61,3 +62,35 @@ def test_no_python_in_the_plan(make_docs):
 def test_query_equals_sql(spark, make_docs, tmp_path, odd_texts):
     make_docs(odd_texts + line_texts(2)).write.parquet(f"{tmp_path}/documents.parquet")
     assert spark_rows(queries.op3_line_dedup(spark, str(tmp_path))) == duck_rows(line_dedup.ORACLE, str(tmp_path))
+
+
+def brute_runs(rows, min_chars=line_dedup.MIN_CHARS):
+    """Kept texts if a repeated run may have any number of lines."""
+    seen, out = set(), []
+    for _, text in rows:
+        lines, gone = (text or "").split("\n"), set()
+        for p in range(len(lines)):
+            for n in range(1, len(lines) - p + 1):
+                window = tuple(lines[p : p + n])
+                if sum(map(len, window)) >= min_chars:
+                    if window in seen:
+                        gone.update(range(p, p + n))
+                    seen.add(window)
+        out.append(None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+def test_runs_of_short_lines(spark, make_docs):
+    verse = "\n".join(["roses", "are", "", "red", "\u2028 é\r", "violets", "are", "blue", "x"])
+    rng = random.Random(11)
+    pool = ["", "a", "bb", "été", "four", "fifth", "sixsix", "日本語テキスト", "a line that is long enough", "\r", "x" * 12]
+    short = ["\n".join(rng.choice(pool) for _ in range(rng.randint(1, 25))) for _ in range(60)]
+    texts = [verse, f"own\n{verse}\nother", "\n\n\n" + verse, *short, None, "", "\n" * 40, "ab\n" * 40, *line_texts(3, 30)]
+    found = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, make_docs(texts), "").collect()}
+    assert found[1] == "own\nother"
+    assert [found[i] for i in range(len(texts))] == brute_runs(list(enumerate(texts)))
+
+
+def test_no_python_in_the_plan_of_runs(make_docs):
+    plan = line_dedup.deduplicated(make_docs(["a"]), runs=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
