@@ -45,8 +45,9 @@ def _run_windows(text: Column, min_chars: int) -> Column:
         return F.struct(line.cast("int").alias("line"), lines.cast("int").alias("lines"), content.alias("fp"), line.cast("int").alias("at"), content.alias("content"))
 
     ahead = F.transform(_shortest(text, min_chars), lambda w, i: window(i, n_lines(w), F.xxhash64(w)))
-    back = F.transform(_shortest(F.reverse(text), min_chars), lambda w, i: window(last - i - n_lines(w) + 1, n_lines(w), F.xxhash64(F.reverse(w))))
-    return F.array_distinct(F.concat(ahead, back))
+    # the last line's number is a variable, else it is counted again for each window
+    back = F.transform(F.array(last), lambda end: F.transform(_shortest(F.reverse(text), min_chars), lambda w, i: window(end - i - n_lines(w) + 1, n_lines(w), F.xxhash64(F.reverse(w)))))
+    return F.array_distinct(F.concat(ahead, F.flatten(back)))
 
 
 def _windows(lines: Column, min_chars: int) -> Column:
