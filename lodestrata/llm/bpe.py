@@ -3,8 +3,14 @@
 Texts are split once by the tokenizer's own rules. A block of documents keeps its words as positions
 in its list of distinct words, and sends that list to word buckets; a bucket encodes each distinct
 word once with the tokenizers library, whatever the number of blocks, and returns the ids in the
-order of each list. The block joins them back by position. Decoding joins ids with the vocabulary's
-pieces, whose number is fixed.
+order of each list. The block joins them back by position. A bucket's lists are read one after another
+and answered at once, so a task holds the bucket's distinct words and one list; there are as many buckets
+as the size of the texts asks for.
+
+Decoding joins ids with the table of (id, piece), whose number of rows is that of the vocabulary: a
+block sends its distinct ids to the join and gets their pieces back. Joined texts are made by Arrow.
+
+A block has up to ``block_bytes`` of text, or one document: the memory of a task follows the longest document.
 
 Splitting uses Python's ``re`` for texts whose characters all lie in a checked set (ASCII, Latin
 letters, common punctuation), for which the pattern below equals the tokenizer's; every other text is
@@ -21,15 +27,15 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import block_ids, bounded_batches, buckets, cut_rows, packed, release_memory, unpacked
 from .storage import written
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES, BUCKET_TEXT = 8 << 20, 64 << 20
 # The characters for which the patterns are known to agree, and of them the letters.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = "\t\n\r\x20-\x7e¡-©«-±´¶-¸»¿-ÿ–—‘’“”…"
@@ -160,9 +166,11 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     once for each distinct word of a block instead of once for each id. ``path`` is a tokenizer file that all executors have.
     """
     path = path or default_path()
-    bounded_batches(docs.sparkSession)
-    n = buckets(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    size = picked.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(buckets(spark), -(-size // BUCKET_TEXT))
 
     def split(batches):
         ids, words = block_ids(), splitter(path)
@@ -173,94 +181,137 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 
     table = written(picked.mapInArrow(split, "block long, bucket int, documents binary, positions binary, buckets binary, words binary"), "bpe-words")
 
-    def encode_bucket(rows: pd.DataFrame) -> pd.DataFrame:
-        """Each distinct word of the bucket once; its ids for every list that has it."""
+    def encode_buckets(batches):
         import zstandard
 
-        unzip, words = zstandard.ZstdDecompressor().decompress, splitter(path)
-        seen = _Positions()
-        at = [np.fromiter(map(seen.__getitem__, unzip(w).decode().split("\n")), np.int64) for w in rows["words"]]
-        plain = [w for w in seen if w not in words.special]
-        ids = {w: [i] for w, i in words.special.items()}
-        for i in range(0, len(plain), 20_000):
-            ids.update(zip(plain[i : i + 20_000], words.encode_words(plain[i : i + 20_000]), strict=True))
-        listed = [ids[w] for w in seen]
-        sizes = np.fromiter(map(len, listed), np.int64, len(listed))
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        flat = np.fromiter((i for x in listed for i in x), np.int64, int(starts[-1]))
-        out = []
-        for a in at:
-            n_ids = sizes[a]
-            spread = np.repeat(starts[a] - np.concatenate([[0], np.cumsum(n_ids)[:-1]]), n_ids) + np.arange(int(n_ids.sum()))
-            out.append((_squeeze(n_ids), _squeeze(flat[spread])))
-        return pd.DataFrame({"block": rows["block"].to_numpy(), "bucket": rows["bucket"].to_numpy(), "sizes": [o[0] for o in out], "ids": [o[1] for o in out]})
-
-    lists = table.where("words IS NOT NULL").select("block", "bucket", "words")
-    answers = lists.groupBy("bucket").applyInPandas(encode_bucket, "block long, bucket int, sizes binary, ids binary")
-    answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "sizes", "ids")).alias("answers"))
+        unzip, words, at, known = zstandard.ZstdDecompressor().decompress, splitter(path), None, {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, bucket, data = (c[i].as_py() for c in batch.columns)
+                if bucket != at:
+                    at, known = bucket, {}
+                listed = unzip(data).decode().split("\n")
+                new = [w for w in listed if w not in known]
+                for k in range(0, len(new), 20_000):
+                    plain = [w for w in new[k : k + 20_000] if w not in words.special]
+                    known.update(zip(plain, (np.array(x, np.int32) for x in words.encode_words(plain)), strict=True))
+                known.update((w, np.array([words.special[w]], np.int32)) for w in new if w in words.special)
+                found = [known[w] for w in listed]
+                sizes, flat = np.fromiter(map(len, found), np.int64, len(found)), np.concatenate(found)
+                row = [pa.array([block]), pa.array([bucket], pa.int32()), pa.array([_squeeze(sizes)], pa.binary()), pa.array([_squeeze(flat)], pa.binary())]
+                if decoded:
+                    row.append(pa.array([np.unique(flat)], pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(row, ["block", "bucket", "sizes", "ids", "distinct"][: len(row)])
+        release_memory()
+
+    lists = table.where("words IS NOT NULL").select("block", "bucket", "words").repartition(n, "bucket").sortWithinPartitions("bucket", "block")
+    answers = lists.mapInArrow(encode_buckets, "block long, bucket int, sizes binary, ids binary" + ", distinct array<int>" * decoded)
     documents = table.where("documents IS NOT NULL").select("block", "documents", "positions", "buckets")
+    if decoded:
+        answers = written(answers, "bpe-answers")  # read twice
+        named = answers.select("block", F.explode("distinct").alias("id")).distinct().join(F.broadcast(pieces(spark, path)), "id")
+        documents = documents.join(named.groupBy("block").agg(F.collect_list(F.struct("id", "piece")).alias("pieces")), "block", "left")
+    answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "sizes", "ids")).alias("answers"))
 
     def join_back(batches):
-        pieces = _pieces(path) if decoded else None
-        for row in (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(batch.num_rows)):
-            documents = unpacked(row["documents"])
-            position, bucket = _expand(row["positions"]), _expand(row["buckets"])
-            order = np.argsort(bucket, kind="stable")
-            answers = sorted(row["answers"] or [], key=lambda a: a["bucket"])
-            empty = [np.zeros(0, np.uint32)]
-            sizes = np.concatenate([_expand(a["sizes"]) for a in answers] or empty).astype(np.int64)
-            flat = np.concatenate([_expand(a["ids"]) for a in answers] or empty).astype(np.int32)
-            starts, size = np.empty(len(bucket), np.int64), np.empty(len(bucket), np.int64)
-            starts[order], size[order] = np.cumsum(sizes) - sizes, sizes
-            if decoded:
-                joined = [pieces[i] for i in flat.tolist()]
-                words = [" ".join(joined[a : a + n]) for a, n in zip(starts.tolist(), size.tolist(), strict=True)]
-                joined.clear()
-            ends = np.concatenate([[0], np.cumsum(documents.column(1).to_numpy())])
-            at = 0
-            while at < documents.num_rows:  # as many documents as have some 250,000 words
-                to = max(at + 1, int(np.searchsorted(ends, ends[at] + (1 << 18), side="right")) - 1)
-                own = position[ends[at] : ends[to]]
-                n_ids = size[own]
-                before = np.concatenate([[0], np.cumsum(n_ids)])
-                spread = np.repeat(starts[own] - before[:-1], n_ids) + np.arange(int(before[-1]))
-                cuts = ends[at : to + 1] - ends[at]
-                out = [documents.column(0).slice(at, to - at), pa.ListArray.from_arrays(pa.array(before[cuts], pa.int32()), pa.array(flat[spread], pa.int32()))]
-                if decoded:
-                    own = own.tolist()
-                    out.append(pa.array([" ".join(map(words.__getitem__, own[a:b])) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], pa.string()))
-                yield pa.RecordBatch.from_arrays(out, ["id", "ids", "decoded"][: len(out)])
-                at = to
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from _join_back({k: batch.column(k)[i] for k in batch.schema.names}, decoded)
+        release_memory()
 
-    joined = documents.join(answers, "block", "left").select("documents", "positions", "buckets", "answers")
+    joined = documents.join(answers, "block", "left").drop("block")
     return joined.mapInArrow(join_back, "id long, ids array<int>" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
 
 
+def _lists(flat: pa.Array, cuts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat)
+
+
+def _join_back(row: dict, decoded: bool, words_at_once: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """A block's documents with their ids, from its positions and the buckets' answers."""
+    documents = unpacked(row["documents"].as_py())
+    position, bucket = _expand(row["positions"].as_py()), _expand(row["buckets"].as_py())
+    answers = sorted(row["answers"].as_py() or [], key=lambda a: a["bucket"])
+    empty = [np.zeros(0, np.uint32)]
+    size = np.concatenate([_expand(a["sizes"]) for a in answers] or empty).astype(np.int32)
+    flat = np.concatenate([_expand(a["ids"]) for a in answers] or empty).astype(np.int32)
+    answers.clear()
+    place = np.empty(len(bucket), np.int32)  # where in the answers a word of the block's list stands
+    place[np.argsort(bucket, kind="stable")] = np.arange(len(bucket), dtype=np.int32)
+    begin = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    if decoded:
+        named = row["pieces"].values
+        known = named.field("id").to_numpy() if named is not None else np.zeros(0, np.int32)
+        pieces = named.field("piece") if named is not None else pa.array([], pa.string())
+        order = np.argsort(known)
+        known = known[order]
+        words = pc.binary_join(_lists(pieces.take(pa.array(order[np.searchsorted(known, flat)])), begin), " ")
+    ends = np.concatenate([[0], np.cumsum(documents.column(1).to_numpy())])
+    at = 0
+    while at < documents.num_rows:  # as many documents as have so many words, or one
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + words_at_once, side="right")) - 1)
+        own = place[position[ends[at] : ends[to]]]
+        cuts, n_ids = ends[at : to + 1] - ends[at], size[own]
+        before = np.concatenate([[0], np.cumsum(n_ids, dtype=np.int64)])
+        spread = np.repeat((begin[own] - before[:-1]).astype(np.int64), n_ids) + np.arange(int(before[-1]))
+        out = [documents.column(0).slice(at, to - at), _lists(pa.array(flat[spread], pa.int32()), before[cuts])]
+        if decoded:
+            full = np.concatenate([[0], np.cumsum(n_ids > 0)])  # a word without ids leaves no gap
+            out.append(pc.binary_join(_lists(words.take(pa.array(own[n_ids > 0])), full[cuts]), " "))
+        yield pa.RecordBatch.from_arrays(out, ["id", "ids", "decoded"][: len(out)])
+        at = to
+
+
 @lru_cache(2)
-def _pieces(path: str) -> dict[int, str]:
+def _vocabulary(path: str) -> list[tuple[int, str]]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     if tokenizer.decoder is not None:
         raise ValueError("this file's decoder changes pieces; only plain joining is supported")
-    return {i: piece for piece, i in tokenizer.get_vocab(with_added_tokens=True).items()}
+    return sorted((i, piece) for piece, i in tokenizer.get_vocab(with_added_tokens=True).items())
 
 
-def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+def pieces(spark: SparkSession, path: str) -> DataFrame:
+    """``id`` and ``piece`` of a vocabulary file: a table of that many rows."""
+    return spark.createDataFrame(_vocabulary(path), "id int, piece string")
+
+
+def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids", block_ids_most: int = 1 << 20) -> DataFrame:
     """``id_col``, ``ids_col`` and ``decoded``: the ids joined with the vocabulary's pieces, as the library's decode(skip_special_tokens=False).
 
     Null or empty ids give an empty text; an id that the vocabulary lacks is left out, as the library does.
     """
-    path = path or default_path()
+    path, spark = path or default_path(), encoded.sparkSession
+    bounded_batches(spark)
     picked = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     kinds = dict(picked.dtypes)
 
-    def run(batches):
-        pieces = _pieces(path)
+    def send(batches):
+        numbers = block_ids()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                texts = [" ".join([p for p in map(pieces.get, ids) if p is not None]) if (ids := x.as_py()) else "" for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["id", "ids", "decoded"])
+            ends, at = np.cumsum(pc.list_value_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + block_ids_most, side="right")))
+                part = batch.slice(at, to - at)
+                distinct = pc.unique(pc.list_flatten(part.column(1))).drop_null()
+                yield pa.RecordBatch.from_arrays([pa.array([next(numbers)]), pa.array([packed(part)], pa.binary()), _lists(distinct, np.array([0, len(distinct)]))], ["block", "rows", "distinct"])
+                at = to
+
+    blocks = written(picked.mapInArrow(send, f"block long, rows binary, distinct {kinds['ids']}"), "bpe-decode")
+    named = blocks.select("block", F.explode("distinct").alias("id")).join(F.broadcast(pieces(spark, path)), "id")
+    named = named.groupBy("block").agg(F.collect_list(F.struct("id", "piece")).alias("pieces"))
 
-    return picked.mapInArrow(run, f"id {kinds['id']}, ids {kinds['ids']}, decoded string").withColumnsRenamed({"id": id_col, "ids": ids_col})
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part, table = unpacked(batch.column(0)[i].as_py()), batch.column(1)[i].values
+                flat, lengths = pc.list_flatten(part.column(1)), pc.list_value_length(part.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
+                found = pc.index_in(flat, table.field("id").cast(flat.type)) if table is not None else pa.nulls(len(flat), pa.int32())
+                there = found.is_valid().to_numpy(zero_copy_only=False)
+                named = table.field("piece").take(found.drop_null()) if table is not None else pa.array([], pa.string())
+                cuts = np.concatenate([[0], np.cumsum(there)])[np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pc.binary_join(_lists(named, cuts), " ")], ["id", "ids", "decoded"])
+
+    joined = blocks.select("block", "rows").join(named, "block", "left").select("rows", "pieces")
+    return joined.mapInArrow(run, f"id {kinds['id']}, ids {kinds['ids']}, decoded string").withColumnsRenamed({"id": id_col, "ids": ids_col})
