@@ -3,7 +3,8 @@
 The byte-level pre-tokenizer cuts a text into words without gaps. For texts whose characters all lie in
 a checked set the cuts follow from the classes of neighbouring bytes; every other text goes to the
 library as a whole. Words are looked up by hash in a bounded table of words already encoded; the
-tokenizers library encodes those it lacks, each once.
+tokenizers library encodes those it lacks, each once. The table keeps the words' bytes: a word whose
+hash is another word's sends its text to the library.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from .wordspans import SLICE_BYTES, hashed
+from .wordspans import SLICE_BYTES, hashed, same_words
 
 CACHED_WORDS = 2_000_000
 # Second and third bytes of the checked characters outside ASCII (C2 and E2 80: punctuation; C3: Latin letters but for two signs).
@@ -85,8 +86,13 @@ def word_starts(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.n
     return np.flatnonzero(starts)
 
 
+def _room(array: np.ndarray, used: int, wanted: int) -> np.ndarray:
+    """``array`` with at least ``wanted`` places, the first ``used`` kept."""
+    return array if wanted <= len(array) else np.concatenate([array[:used], np.zeros(2 * wanted - used, array.dtype)])
+
+
 class _Table:
-    """Ids of words by hash: a sorted table of up to ``most`` words."""
+    """Ids and bytes of words by hash: a sorted table of up to ``most`` words."""
 
     def __init__(self, kind: np.dtype, most: int):
         self.most, self.kind = most, kind
@@ -94,7 +100,9 @@ class _Table:
 
     def clear(self) -> None:
         self.keys, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.ids, self.used = np.zeros(1 << 16, self.kind), 0
+        self.letters, self.filled = np.zeros(1 << 16, np.uint8), 0
 
     def missing(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -102,22 +110,33 @@ class _Table:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return self.keys[at] != keys
 
-    def add(self, keys: np.ndarray, found: list[list[int]]) -> None:
+    def add(self, keys: np.ndarray, words: list[bytes], found: list[list[int]]) -> None:
         """``keys`` are sorted and new."""
         size = np.fromiter(map(len, found), np.int32, len(found))
         start = self.used + np.cumsum(size, dtype=np.int64) - size
         used = self.used + int(size.sum())
-        if used > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.used], np.zeros(2 * used - self.used, self.kind)])
+        self.ids = _room(self.ids, self.used, used)
         self.ids[self.used : used] = [i for ids in found for i in ids]
         self.used = used
+        length = np.fromiter(map(len, words), np.int32, len(words))
+        begin = self.filled + np.cumsum(length, dtype=np.int64) - length
+        filled = self.filled + int(length.sum())
+        self.letters = _room(self.letters, self.filled, filled + 8)
+        self.letters[self.filled : filled] = np.frombuffer(b"".join(words), np.uint8)
+        self.filled = filled
         at = np.searchsorted(self.keys, keys)
-        self.keys, self.start, self.size = np.insert(self.keys, at, keys), np.insert(self.start, at, start), np.insert(self.size, at, size)
+        self.keys, self.start, self.size, self.begin, self.length = (np.insert(a, at, x) for a, x in ((self.keys, keys), (self.start, start), (self.size, size), (self.begin, begin), (self.length, length)))
 
     def spans(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.keys, keys)
         return self.start[at], self.size[at].astype(np.int64)
 
+    def holds(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether the word under each key is ``data[start:end]``."""
+        at = np.searchsorted(self.keys, keys)
+        low = self.begin[at]
+        return same_words(data, starts, ends, self.letters, low, low + self.length[at], roomy=True)
+
 
 class ByteEncoder:
     """Ids of the rows of an Arrow text column, as the library's encode with add_special_tokens=False."""
@@ -174,9 +193,14 @@ class ByteEncoder:
         if len(self._table.keys) > self._table.most:
             self._table.clear()
         new = np.flatnonzero(self._table.missing(keys))
+        at, end = starts[first], ends[first]
         if len(new):
-            words = [raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
-            self._table.add(keys[new], [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+            words = [raw[a:b] for a, b in zip(at[new].tolist(), end[new].tolist(), strict=True)]
+            self._table.add(keys[new], words, [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)])
+        other = ~same_words(data, starts, ends, data, at[which], end[which])
+        other |= ~self._table.holds(keys, data, at, end)[which]
+        if other.any():
+            odd[np.searchsorted(offsets, starts[other], side="right") - 1] = True
         start, size = self._table.spans(keys)
         start, size = start[which], size[which]
         before = np.concatenate([[0], np.cumsum(size)])

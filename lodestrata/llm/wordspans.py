@@ -1,9 +1,11 @@
 """Words of whole Arrow batches, found and hashed with NumPy on the UTF-8 bytes.
 
-A word is ``[^\\x20\\x09-\\x0D]+``. Its 64-bit hash is polynomial over its bytes (arithmetic modulo
-2**64, taken as the difference of two prefix sums, so no loop over words) and then mixed. Texts are
-worked on in slices of a few MB, cut between documents, or between words inside a very long document,
-so memory doesn't follow the size of an Arrow batch or of a document's text.
+A word is ``[^\\x20\\x09-\\x0D]+``. Its 64-bit hash takes in eight bytes at a time, each time mixed with
+what came before (one step for all words that are long enough, so no loop over words); words of more
+than ``LONG`` bytes are hashed by XXH64. No sum of powers is involved, for which words of equal sums
+can be written down. Where a hash stands for a word, ``same_words`` compares the bytes themselves.
+Texts are worked on in slices of about a MB, cut between documents, or between words inside a very long
+document, so memory doesn't follow the size of an Arrow batch or of a document's text.
 """
 
 from __future__ import annotations
@@ -13,9 +15,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh64_intdigest
 
-SLICE_BYTES = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
+SLICE_BYTES, LONG = 1 << 20, 64
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -24,13 +27,6 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-@lru_cache(1)
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Powers of the base, of its inverse, and a fixed random value for each byte."""
-    n = SLICE_BYTES + 1
-    return _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n), mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads each 64-bit value over all bits (the splitmix64 finaliser)."""
     x = x ^ (x >> np.uint64(30))
@@ -70,12 +66,43 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
 
 
+def _eights(data: np.ndarray, roomy: bool = False) -> np.ndarray:
+    """Entry i: the eight bytes from i on as one little-endian number. roomy: ``data`` ends with eight bytes of no word."""
+    padded = data if roomy else np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+
+
 def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The hash of each ``data[start:end]``; ``data`` is one slice."""
-    power, inverse, values = _tables()
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """The hash of each ``data[start:end]``."""
+    size, eights = ends - starts, _eights(data)
+    out = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    left, at = np.flatnonzero((size > 0) & (size <= LONG)), 0
+    while len(left):
+        now = eights[starts[left] + at] & _LOW_BYTES[np.minimum(size[left] - at, 8)]
+        out[left] = mix(out[left] ^ now)
+        at += 8
+        left = left[size[left] > at]
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] = xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), 42)
+    return out
+
+
+def same_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray, roomy: bool = False) -> np.ndarray:
+    """Whether each ``data[start:end]`` has the bytes of its partner in ``others`` (roomy: with eight bytes of no word at its end)."""
+    size = ends - starts
+    same = size == other_ends - other_starts
+    a = _eights(data)
+    b = a if others is data else _eights(others, roomy)
+    left, at = np.flatnonzero(same & (size > 0) & (size <= LONG)), 0
+    while len(left):
+        wanted = _LOW_BYTES[np.minimum(size[left] - at, 8)]
+        ok = ((a[starts[left] + at] ^ b[other_starts[left] + at]) & wanted) == 0
+        same[left[~ok]] = False
+        at += 8
+        left = left[ok & (size[left] > at)]
+    for i in np.flatnonzero(same & (size > LONG)).tolist():
+        same[i] = np.array_equal(data[starts[i] : ends[i]], others[other_starts[i] : other_ends[i]])
+    return same
 
 
 def _slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
@@ -105,15 +132,6 @@ def _slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, i
         row += 1
 
 
-def _long_word(data: np.ndarray) -> int:
-    """The hash of a word that is longer than a slice, from those of its pieces."""
-    out = np.uint64(len(data))
-    for at in range(0, len(data), SLICE_BYTES):
-        piece = data[at : at + SLICE_BYTES]
-        out = mix(np.array([out], np.uint64) + hashed(piece, np.array([0]), np.array([len(piece)])))[0]
-    return out
-
-
 def folded_bytes(punctuation: bool = True) -> np.ndarray:
     """A byte map for ``word_hashes``: A-Z to a-z and, if asked for, ASCII punctuation to spaces."""
     out = np.arange(256, dtype=np.uint8)
@@ -133,10 +151,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None =
             piece = fold[piece]
         local = np.clip(offsets[row : end + 1] - at, 0, cut - at)
         starts, ends = word_bounds(piece, local)
-        if len(piece) <= SLICE_BYTES:
-            found.append(hashed(piece, starts, ends))
-        else:
-            found.append(np.array([_long_word(piece[s:e]) if e - s > SLICE_BYTES else hashed(piece[s:e], np.array([0]), np.array([e - s]))[0] for s, e in zip(starts, ends, strict=True)], np.uint64))
+        found.append(hashed(piece, starts, ends))
         counts[row:end] += np.diff(np.searchsorted(starts, local))
     return (np.concatenate(found) if found else np.zeros(0, np.uint64)), np.concatenate([[0], np.cumsum(counts)])
 

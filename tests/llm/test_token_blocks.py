@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from test_wordspans import twins
 from tokenizers import Tokenizer
 
 from lodestrata.llm import bytewords, queries
@@ -47,6 +48,23 @@ def test_words_equal_the_library(library):
         assert found == [*(library.encode(t, add_special_tokens=False).ids for t in texts), [], []]
 
 
+def test_words_with_equal_hashes(library, monkeypatch):
+    monkeypatch.setattr(bytewords, "hashed", lambda data, starts, ends: (ends - starts).astype(np.uint64))  # as bad as can be
+    code = bytewords.ByteEncoder(tb.default_path())
+    for _ in range(2):  # against words of the same texts, and against the table
+        texts = ["the cat sat on mats", "cat", "dog", "the dog ran", None, "a b"]
+        ids, counts = code.encode(*utf8(pa.array(texts)))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_with_equal_sums_of_powers(library, n):
+    a, b = twins(n)
+    code = bytewords.ByteEncoder(tb.default_path())
+    for text in (f"{a} {b}", b, a):
+        assert code.encode(*utf8(pa.array([text])))[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_very_long_text(library):
     text = "lorem's ipsum \n" * 200_000
     ids, counts = bytewords.encoder(tb.default_path()).encode(*utf8(pa.array(["a", text, "b"])))

@@ -31,18 +31,40 @@ def test_words_and_hashes(texts):
 def test_slices_change_nothing(monkeypatch):
     texts = ["ab " * 50 + "c" * 500 + " d", "c" * 500, "x", None, "", "ab d " + "c" * 499 + "\n" + "c" * 500, "y" * 64 + " z"]
     monkeypatch.setattr(w, "SLICE_BYTES", 64)
-    w._tables.cache_clear()
-    try:
-        hashes, rows = w.word_hashes(*w.utf8(pa.array(texts, pa.string())))
-        found = {}
-        for i, text in enumerate(texts):
-            words = split(text)
-            assert rows[i + 1] - rows[i] == len(words)
-            for word, h in zip(words, hashes[rows[i] : rows[i + 1]].tolist(), strict=True):
-                assert found.setdefault(word, h) == h
-        assert len(set(found.values())) == len(found)
-    finally:
-        w._tables.cache_clear()
+    hashes, rows = w.word_hashes(*w.utf8(pa.array(texts, pa.string())))
+    found = {}
+    for i, text in enumerate(texts):
+        words = split(text)
+        assert rows[i + 1] - rows[i] == len(words)
+        for word, h in zip(words, hashes[rows[i] : rows[i + 1]].tolist(), strict=True):
+            assert found.setdefault(word, h) == h
+    assert len(set(found.values())) == len(found)
+
+
+def twins(n):
+    """The two complementary Thue-Morse words over a and b: sums of powers modulo 2**64 can't tell them apart from 1,024 letters on."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: "b", 98: "a"})
+    return word, word.translate({97: "b", 98: "a"})
+
+
+def test_words_with_equal_sums_of_powers():
+    for n in (8, 16, 64, 1024, 2048, 4096):
+        a, b = twins(n)
+        hashes, _ = w.word_hashes(*w.utf8(pa.array([f"{a} {b} {a}"])))
+        assert hashes[0] == hashes[2] != hashes[1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="ab", max_size=70), st.text(alphabet="ab", max_size=70), st.booleans()), max_size=12))
+def test_same_words(pairs):
+    pairs = [(a, a if equal else b) for a, b, equal in pairs]
+    sides = [[p[i].encode() for p in pairs] for i in (0, 1)]
+    ends = [np.cumsum([0, *map(len, x)]) for x in sides]
+    data = [np.frombuffer(b"".join(x), np.uint8) for x in sides]
+    found = w.same_words(data[0], ends[0][:-1], ends[0][1:], data[1], ends[1][:-1], ends[1][1:])
+    assert found.tolist() == [a == b for a, b in zip(*sides, strict=True)]
 
 
 @settings(max_examples=100, deadline=None)
