@@ -7,8 +7,10 @@ order of each list. The block joins them back by position. A bucket's lists are
 and answered at once, so a task holds the bucket's distinct words and one list; there are as many buckets
 as the size of the texts asks for.
 
-Decoding joins ids with the table of (id, piece), whose number of rows is that of the vocabulary: a
-block sends its distinct ids to the join and gets their pieces back. Joined texts are made by Arrow.
+Decoding joins ids with the table of (id, piece), whose number of rows is that of the vocabulary.
+``decode`` sends the distinct ids of each block to that join. ``encode`` with ``decoded`` has the table
+folded to one row, the pieces in the order of their ids: each block gets it by a broadcast join on the
+tokenizer's name, and its ids meet their pieces by position. Joined texts are made by Arrow.
 
 A block has up to ``block_bytes`` of text, or one document: the memory of a task follows the longest document.
 
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from .blocks import block_ids, bounded_batches, buckets, cut_rows, packed, release_memory, unpacked
 from .storage import written
 
-BLOCK_BYTES, BUCKET_TEXT = 8 << 20, 64 << 20
+BLOCK_BYTES, BUCKET_TEXT = 12 << 20, 64 << 20
 # The characters for which the patterns are known to agree, and of them the letters.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = "\t\n\r\x20-\x7e¡-©«-±´¶-¸»¿-ÿ–—‘’“”…"
@@ -199,18 +201,12 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                 found = [known[w] for w in listed]
                 sizes, flat = np.fromiter(map(len, found), np.int64, len(found)), np.concatenate(found)
                 row = [pa.array([block]), pa.array([bucket], pa.int32()), pa.array([_squeeze(sizes)], pa.binary()), pa.array([_squeeze(flat)], pa.binary())]
-                if decoded:
-                    row.append(pa.array([np.unique(flat)], pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(row, ["block", "bucket", "sizes", "ids", "distinct"][: len(row)])
+                yield pa.RecordBatch.from_arrays(row, ["block", "bucket", "sizes", "ids"])
         release_memory()
 
     lists = table.where("words IS NOT NULL").select("block", "bucket", "words").repartition(n, "bucket").sortWithinPartitions("bucket", "block")
-    answers = lists.mapInArrow(encode_buckets, "block long, bucket int, sizes binary, ids binary" + ", distinct array<int>" * decoded)
+    answers = lists.mapInArrow(encode_buckets, "block long, bucket int, sizes binary, ids binary")
     documents = table.where("documents IS NOT NULL").select("block", "documents", "positions", "buckets")
-    if decoded:
-        answers = written(answers, "bpe-answers")  # read twice
-        named = answers.select("block", F.explode("distinct").alias("id")).distinct().join(F.broadcast(pieces(spark, path)), "id")
-        documents = documents.join(named.groupBy("block").agg(F.collect_list(F.struct("id", "piece")).alias("pieces")), "block", "left")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "sizes", "ids")).alias("answers"))
 
     def join_back(batches):
@@ -220,6 +216,9 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
         release_memory()
 
     joined = documents.join(answers, "block", "left").drop("block")
+    if decoded:
+        folded = pieces(spark, path).groupBy(F.lit(path).alias("tokenizer")).agg(F.array_sort(F.collect_list(F.struct("id", "piece"))).alias("pieces"))
+        joined = joined.withColumn("tokenizer", F.lit(path)).join(F.broadcast(folded), "tokenizer").drop("tokenizer")
     return joined.mapInArrow(join_back, "id long, ids array<int>" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
 
 
@@ -240,12 +239,8 @@ def _join_back(row: dict, decoded: bool, words_at_once: int = 1 << 17) -> Iterat
     place[np.argsort(bucket, kind="stable")] = np.arange(len(bucket), dtype=np.int32)
     begin = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
     if decoded:
-        named = row["pieces"].values
-        known = named.field("id").to_numpy() if named is not None else np.zeros(0, np.int32)
-        pieces = named.field("piece") if named is not None else pa.array([], pa.string())
-        order = np.argsort(known)
-        known = known[order]
-        words = pc.binary_join(_lists(pieces.take(pa.array(order[np.searchsorted(known, flat)])), begin), " ")
+        table = row["pieces"].values
+        words = pc.binary_join(_lists(table.field("piece").take(pa.array(np.searchsorted(table.field("id").to_numpy(), flat))), begin), " ")
     ends = np.concatenate([[0], np.cumsum(documents.column(1).to_numpy())])
     at = 0
     while at < documents.num_rows:  # as many documents as have so many words, or one
