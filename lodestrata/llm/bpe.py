@@ -181,7 +181,8 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                 yield from _split_block(part, words, next(ids), n)
         release_memory()
 
-    table = written(picked.mapInArrow(split, "block long, bucket int, documents binary, positions binary, buckets binary, words binary"), "bpe-words")
+    found = picked.mapInArrow(split, "block long, bucket int, documents binary, positions binary, buckets binary, words binary")
+    table = written(found.withColumn("tokenizer", F.lit(path)), "bpe-words")
 
     def encode_buckets(batches):
         import zstandard
@@ -206,7 +207,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 
     lists = table.where("words IS NOT NULL").select("block", "bucket", "words").repartition(n, "bucket").sortWithinPartitions("bucket", "block")
     answers = lists.mapInArrow(encode_buckets, "block long, bucket int, sizes binary, ids binary")
-    documents = table.where("documents IS NOT NULL").select("block", "documents", "positions", "buckets")
+    documents = table.where("documents IS NOT NULL").select("block", "tokenizer", "documents", "positions", "buckets")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "sizes", "ids")).alias("answers"))
 
     def join_back(batches):
@@ -217,8 +218,10 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 
     joined = documents.join(answers, "block", "left").drop("block")
     if decoded:
-        folded = pieces(spark, path).groupBy(F.lit(path).alias("tokenizer")).agg(F.array_sort(F.collect_list(F.struct("id", "piece"))).alias("pieces"))
-        joined = joined.withColumn("tokenizer", F.lit(path)).join(F.broadcast(folded), "tokenizer").drop("tokenizer")
+        folded = pieces(spark, path).groupBy("tokenizer").agg(F.array_sort(F.collect_list(F.struct("id", "piece"))).alias("pieces"))
+        joined = joined.join(F.broadcast(folded), "tokenizer").drop("tokenizer")
+    else:
+        joined = joined.drop("tokenizer")
     return joined.mapInArrow(join_back, "id long, ids array<int>" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
 
 
@@ -268,8 +271,8 @@ def _vocabulary(path: str) -> list[tuple[int, str]]:
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """``id`` and ``piece`` of a vocabulary file: a table of that many rows."""
-    return spark.createDataFrame(_vocabulary(path), "id int, piece string")
+    """``id``, ``piece`` and ``tokenizer`` (the path) of a vocabulary file: a table of that many rows."""
+    return spark.createDataFrame([(i, piece, path) for i, piece in _vocabulary(path)], "id int, piece string, tokenizer string")
 
 
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids", block_ids_most: int = 1 << 20) -> DataFrame:
@@ -294,7 +297,7 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id",
                 at = to
 
     blocks = written(picked.mapInArrow(send, f"block long, rows binary, distinct {kinds['ids']}"), "bpe-decode")
-    named = blocks.select("block", F.explode("distinct").alias("id")).join(F.broadcast(pieces(spark, path)), "id")
+    named = blocks.select("block", F.explode("distinct").alias("id")).join(F.broadcast(pieces(spark, path).drop("tokenizer")), "id")
     named = named.groupBy("block").agg(F.collect_list(F.struct("id", "piece")).alias("pieces"))
 
     def run(batches):
