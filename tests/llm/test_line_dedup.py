@@ -7,21 +7,18 @@ from lodestrata.llm import line_dedup, queries
 
 
 def brute(rows, min_chars=line_dedup.MIN_CHARS):
-    """Kept texts, by remembering every window in order."""
+    """Kept texts, by remembering every run of any number of lines in order."""
     seen, out = set(), []
     for _, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
-        if text is None:
-            out.append(None)
-            continue
-        lines, gone = text.split("\n"), set()
+        lines, gone = (text or "").split("\n"), set()
         for p in range(len(lines)):
-            for n in (1, 2):
-                window = tuple(lines[p : p + n])
-                if len(window) == n and sum(map(len, window)) >= min_chars:
-                    if window in seen:
+            for n in range(1, min(60, len(lines) - p) + 1):  # longer runs are chains of these
+                run = tuple(lines[p : p + n])
+                if sum(map(len, run)) >= min_chars:
+                    if run in seen:
                         gone.update(range(p, p + n))
-                    seen.add(window)
-        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+                    seen.add(run)
+        out.append(None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone))
     return out
 
 
@@ -60,26 +57,12 @@ def test_no_python_in_the_plan(make_docs):
 
 
 def test_query_equals_sql(spark, make_docs, tmp_path, odd_texts):
-    make_docs(odd_texts + line_texts(2)).write.parquet(f"{tmp_path}/documents.parquet")
+    pool = ["", "a", "bb", "été", "four", "sixsix", "日本語テキスト", "a line that is long enough"]
+    short = ["\n".join(random.Random(i).choice(pool) for _ in range(i % 25)) for i in range(60)]
+    make_docs(odd_texts + line_texts(2) + short).write.parquet(f"{tmp_path}/documents.parquet")
     assert spark_rows(queries.op3_line_dedup(spark, str(tmp_path))) == duck_rows(line_dedup.ORACLE, str(tmp_path))
 
 
-def brute_runs(rows, min_chars=line_dedup.MIN_CHARS):
-    """Kept texts if a repeated run may have any number of lines."""
-    seen, out = set(), []
-    for _, text in rows:
-        lines, gone = (text or "").split("\n"), set()
-        for p in range(len(lines)):
-            for n in range(1, len(lines) - p + 1):
-                window = tuple(lines[p : p + n])
-                if sum(map(len, window)) >= min_chars:
-                    if window in seen:
-                        gone.update(range(p, p + n))
-                    seen.add(window)
-        out.append(None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone))
-    return out
-
-
 def test_runs_of_short_lines(spark, make_docs):
     verse = "\n".join(["roses", "are", "", "red", "\u2028 é\r", "violets", "are", "blue", "x"])
     rng = random.Random(11)
@@ -88,9 +71,10 @@ def test_runs_of_short_lines(spark, make_docs):
     texts = [verse, f"own\n{verse}\nother", "\n\n\n" + verse, *short, None, "", "\n" * 40, "ab\n" * 40, *line_texts(3, 30)]
     found = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, make_docs(texts), "").collect()}
     assert found[1] == "own\nother"
-    assert [found[i] for i in range(len(texts))] == brute_runs(list(enumerate(texts)))
+    assert [found[i] for i in range(len(texts))] == brute(list(enumerate(texts)))
 
 
-def test_no_python_in_the_plan_of_runs(make_docs):
-    plan = line_dedup.deduplicated(make_docs(["a"]), runs=True)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+def test_short_lines_that_others_share(make_docs):
+    short = "\n".join(chr(97 + i) * (i % 5 + 1) for i in range(26))
+    found = {r["doc_id"]: r for r in line_dedup.deduplicated(make_docs([short, short, f"x\n{short}"])).collect()}
+    assert [found[i]["line_dedup"]["n_removed"] for i in range(3)] == [0, 26, 26] and found[2]["text"] == "x"
