@@ -1,19 +1,24 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Fitting: a bounded sample of labelled rows (``sample_rows``, by a hash of the id) gives the examples
-and the vocabulary: terms whose odds of a toxic document, after ``PRIOR_ROWS`` more documents at the base
-rate, are ``min_odds`` times the odds of all rows or more, or as much below them; the ``max_terms``
-strongest at most. The rule looks at a term's own counts, not at how many rows are labelled, and odds
-have no ceiling at any base rate. TF-IDF weights are multiplied by the squared logarithm of that odds
-ratio, so a term seen once counts little beside a sure one. The document
-frequencies of its terms are counted over the whole corpus. Examples with equal vectors are one entry
-with its counts of labels. Entries lie in blocks; for each term and block the greatest weight is kept,
-so a query skips every block whose bound can't reach its ``k``-th best cosine.
+Fitting: a bounded sample of labelled rows gives the examples: the ``sample_rows`` smallest hashes of the
+id, and of these, in that order, as many as have ``sample_bytes`` of text. All their terms are the
+vocabulary; none is chosen, dropped or capped. Document frequencies are counted over the whole corpus.
+A term's weight in a text is (1 + ln tf) * idf * (1 + s**2), s being the logarithm of the term's odds of a
+toxic example over those of all examples, after ``PRIOR_ROWS`` more rows at the base rate: at any base
+rate, and for any number of labels, a term that tells nothing keeps its plain TF-IDF weight. Plain
+weights alone don't find toxic texts, as a few words decide (README has figures). The norm is taken over
+all terms of a text; one that no example has weighs like a neutral term of a single document.
+
+Index: examples with equal vectors are one entry with its counts of labels. Entries with the same
+heaviest term lie together in blocks of ``BLOCK``; for each term and block in which it occurs, the
+greatest weight and the place of its postings are kept. A query adds the greatest weights up to a bound
+for each block, scores the blocks of the highest bounds, and then reads postings of no other block but
+those whose bound reaches the ``k``-th best cosine found.
 
 Scoring: the ``k`` nearest entries vote for their label, weighted by cosine / (distance + ``SOFT``), so
 that a far neighbour alone decides nothing against the base rate. A monotone curve fitted to the
 examples' own votes (each left out of its own) makes that a probability. Neighbours are returned as
-evidence. All sizes of what is broadcast follow from the parameters.
+evidence. What is broadcast and what comes to the driver is bounded by the sample.
 """
 
 from __future__ import annotations
@@ -25,28 +30,21 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
 from .blocks import bounded_batches, cut_rows, release_memory
+from .storage import written
 from .wordspans import folded_bytes, utf8, word_hashes
 
-SAMPLE_ROWS, MAX_TERMS, MIN_ODDS, PRIOR_ROWS, NEIGHBOURS = 20_000, 4096, 4.0, 2.0, 25
-BLOCK, SOFT, PRIOR = 64, 0.05, 1.0
-_PART_BYTES, _MEMO = 4 << 20, 50_000
-
-
-def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
-    """(row, term) of each word, and rows. Words lose case and ASCII punctuation."""
-    words, rows = word_hashes(*utf8(column), folded_bytes())
-    return np.repeat(np.arange(len(rows) - 1), np.diff(rows)), words, len(rows) - 1
+SAMPLE_ROWS, SAMPLE_BYTES, PRIOR_ROWS, NEIGHBOURS = 5_000, 32 << 20, 2.0, 25
+BLOCK, SOFT, PRIOR, DIGITS = 64, 0.05, 1.0, 9
+_PART_BYTES, _MEMO, _SIEVE_BITS = 2 << 20, 4_000, 22
 
 
 def terms_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, count) of the distinct terms of each text."""
-    row, term, _ = _features(column)
-    return _counted(row, term)
-
-
-def _counted(row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, count) of the distinct terms of each text, in order. Words lose case and ASCII punctuation."""
+    term, rows = word_hashes(*utf8(column), folded_bytes())
+    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
     if not len(row):
         return row, term, row
     order = np.lexsort((term, row))
@@ -57,83 +55,110 @@ def _counted(row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 @dataclass
 class Vocabulary:
-    """The terms (sorted hashes) and their weights."""
+    """The terms (sorted hashes), their weights, and the weight of any other term."""
 
     terms: np.ndarray
-    idf: np.ndarray
+    weight: np.ndarray
+    other: float = 0.0
     sieve: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        self.sieve = np.zeros(1 << 20, bool)
-        self.sieve[(self.terms >> np.uint64(44)).astype(np.int64)] = True
-
-    def known(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-        """(row, position of the term, count) of the known terms; rows."""
-        row, term, rows = _features(column)
-        near = np.flatnonzero(self.sieve[(term >> np.uint64(44)).astype(np.int64)])
-        found = term[near]
-        at = np.searchsorted(self.terms, found)
+        self.sieve = np.zeros(1 << _SIEVE_BITS, bool)
+        self.sieve[self._high(self.terms)] = True
+
+    @staticmethod
+    def _high(term: np.ndarray) -> np.ndarray:
+        return (term >> np.uint64(64 - _SIEVE_BITS)).astype(np.int64)
+
+    def places(self, term: np.ndarray) -> np.ndarray:
+        """The position of each term, -1 for other ones."""
+        out = np.full(len(term), -1, np.int64)
+        near = np.flatnonzero(self.sieve[self._high(term)])
+        at = np.searchsorted(self.terms, term[near])
         own = at < len(self.terms)
-        own[own] = self.terms[at[own]] == found[own]
-        return *_counted(row[near[own]], at[own]), rows
+        own[own] = self.terms[at[own]] == term[near[own]]
+        out[near[own]] = at[own]
+        return out
 
     def vectors(self, column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(positions, weights) of each text: (1 + ln tf) * idf, of length one; empty without known terms."""
-        row, at, n, rows = self.known(column)
-        weight = (1 + np.log(n)) * self.idf[at]
-        norm = np.sqrt(np.bincount(row, weight * weight, minlength=rows))
-        weight = (weight / norm[row]).astype(np.float32)
-        cuts = np.searchsorted(row, np.arange(rows + 1))
+        """(positions, weights) of each text's known terms; the vector of all its terms has length one."""
+        row, term, n = terms_of(column)
+        at = self.places(term)
+        weight = (1 + np.log(n)) * np.where(at >= 0, self.weight[at] if len(self.weight) else 0.0, self.other)
+        norm = np.sqrt(np.bincount(row, weight * weight, minlength=len(column)))
+        known = np.flatnonzero((at >= 0) & (weight > 0))
+        row, at, weight = row[known], at[known], weight[known] / norm[row[known]]
+        cuts = np.searchsorted(row, np.arange(len(column) + 1))
         return [(at[a:b], weight[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def _ranges(low: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All numbers from each ``low`` on, ``size`` of them."""
+    before = np.concatenate([[0], np.cumsum(size)])
+    return np.repeat(low - before[:-1], size) + np.arange(int(before[-1]))
+
+
 class Examples:
     """Distinct labelled vectors in a block-max inverted index."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: list[int], ids: list[int], n_terms: int, k: int = NEIGHBOURS):
         self.k = k
         entries: dict[bytes, list] = {}
-        for (at, weight), label, doc in zip(vectors, labels, ids, strict=True):
-            e = entries.setdefault(at.tobytes() + weight.tobytes(), [at, weight, 0, 0, doc])
+        keys = [at.tobytes() + weight.tobytes() for at, weight in vectors]
+        for key, (at, weight), label, doc in zip(keys, vectors, labels, ids, strict=True):
+            e = entries.setdefault(key, [at, weight, 0, 0, doc])
             e[2], e[3], e[4] = e[2] + 1, e[3] + label, min(e[4], doc)
         self.blank = tuple(entries.pop(b"", [None, None, 0, 0, None])[2:])
         # entries with the same heaviest term lie together, which keeps the blocks' bounds tight
-        listed = sorted(entries.values(), key=lambda e: (int(e[0][np.argmax(e[1])]), e[0].tolist(), e[4]))
+        listed = sorted(entries, key=lambda x: (int(entries[x][0][np.argmax(entries[x][1])]), entries[x][4], x))
+        place = {key: i for i, key in enumerate(listed)}
+        self.of = np.array([place.get(key, -1) for key in keys], np.int64)  # the entry of each example; -1: no terms
+        listed = [entries[key] for key in listed]
         self.n, self.toxic, self.doc = (np.array([e[i] for e in listed], np.int64) for i in (2, 3, 4))
-        sizes = np.array([len(e[0]) for e in listed], np.int64)
-        entry = np.repeat(np.arange(len(listed)), sizes)
+        entry = np.repeat(np.arange(len(listed), dtype=np.int32), np.array([len(e[0]) for e in listed], np.int64))
         term = np.concatenate([e[0] for e in listed]) if listed else np.zeros(0, np.int64)
-        weight = np.concatenate([e[1] for e in listed]) if listed else np.zeros(0, np.float32)
+        weight = np.concatenate([e[1] for e in listed]) if listed else np.zeros(0)
         order = np.lexsort((entry, term))
-        self.entry, self.weight = entry[order], weight[order]
-        self.cuts = np.searchsorted(term[order], np.arange(n_terms + 1))
+        self.entry, self.weight, term = entry[order], weight[order], term[order]
+        block = self.entry // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.zeros(0, np.int64)
+        # a part: the postings of one term in one block
+        self.part_block, self.part_start, self.part_size = block[first], first, np.diff(np.append(first, len(term)))
+        self.part_most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.cuts = np.searchsorted(term[first], np.arange(n_terms + 1))
         self.blocks = -(-len(listed) // BLOCK)
-        self.bound = np.zeros((n_terms, self.blocks), np.float32)
-        np.maximum.at(self.bound, (term, entry // BLOCK), weight)
         self.base = (self.toxic.sum() + self.blank[1]) / max(1, self.n.sum() + self.blank[0])
+        self.postings_read = 0
 
-    def _scores(self, at: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """Exact cosines of the entries in some blocks; -1 elsewhere."""
+    def _add(self, scores: np.ndarray, parts: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> None:
+        """Adds up exact cosines of all entries of some blocks."""
         wanted = np.zeros(self.blocks, bool)
         wanted[blocks] = True
-        out = np.where(np.repeat(wanted, BLOCK)[: len(self.n)], 0.0, -1.0)
-        for t, w in zip(at.tolist(), weight.tolist(), strict=True):
-            a, b = self.cuts[t], self.cuts[t + 1]
-            own = wanted[self.entry[a:b] // BLOCK]
-            out[self.entry[a:b][own]] += w * self.weight[a:b][own]
-        return out
+        own = wanted[self.part_block[parts]]
+        parts, weight = parts[own], weight[own]
+        at = _ranges(self.part_start[parts], self.part_size[parts])
+        self.postings_read += len(at)
+        scores += np.bincount(self.entry[at], np.repeat(weight, self.part_size[parts]) * self.weight[at], minlength=len(scores))
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` entries of greatest cosine over zero (ties: the entry's place) and the cosines; one more if ``skip`` is among them."""
+        """The ``k`` entries of greatest cosine over zero, to ``DIGITS`` digits (ties: the smallest document), and the cosines; one more if ``skip`` is given."""
         k = self.k + (skip >= 0)
-        bound = weight @ self.bound[at]
+        size = self.cuts[at + 1] - self.cuts[at]
+        parts, weight = _ranges(self.cuts[at], size), np.repeat(weight, size)
+        bound = np.bincount(self.part_block[parts], weight * self.part_most[parts], minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
-        scores = self._scores(at, weight, order[: max(2, -(-k // BLOCK) + 1)])
+        scores, done = np.zeros(len(self.n)), 1 + -(-k // BLOCK)
+        self._add(scores, parts, weight, order[:done])
         floor = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
-        rest = np.flatnonzero((bound >= floor - 1e-5) & (bound > 0))
-        scores = self._scores(at, weight, np.union1d(rest, order[: max(2, -(-k // BLOCK) + 1)]))
+        rest = order[done:]
+        rest = rest[(bound[rest] > 0) & (bound[rest] >= floor - 10.0**-DIGITS)]
+        if len(rest):
+            self._add(scores, parts, weight, rest)
+        scores = np.round(scores, DIGITS)
         found = np.flatnonzero(scores > 0)
-        found = found[np.lexsort((found, -scores[found]))][:k]
+        if len(found) > k:
+            found = found[scores[found] >= np.partition(scores[found], -k)[-k]]
+        found = found[np.lexsort((self.doc[found], -scores[found]))][:k]
         return found, scores[found]
 
     def vote(self, at: np.ndarray, weight: np.ndarray, own: tuple[int, int] | None = None) -> tuple[float, np.ndarray, np.ndarray]:
@@ -196,76 +221,63 @@ def _parts(batches, column: int):
     release_memory()
 
 
-def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS, min_odds: float = MIN_ODDS, k: int = NEIGHBOURS) -> Model:
-    """The model from ``labelled`` (id and label 0/1; nulls are ignored, of several labels the largest holds)."""
+def term_strength(n: np.ndarray, toxic: np.ndarray, rows: int, toxic_rows: int) -> np.ndarray:
+    """|ln| of the odds of a toxic row among those with a term over the odds of all rows, after ``PRIOR_ROWS`` more at the base rate."""
+    if not 0 < toxic_rows < rows:  # with one label nothing tells terms apart
+        return np.zeros(len(n))
+    base = toxic_rows / rows
+    return np.abs(np.log((toxic + PRIOR_ROWS * base) / (n - toxic + PRIOR_ROWS * (1 - base)) * (1 - base) / base))
+
+
+def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, k: int = NEIGHBOURS) -> Model:
+    """The model from ``labelled`` (id and label 0/1; nulls are ignored, of several labels the largest holds).
+
+    An id that several texts have teaches by the one of the smallest hash. The first text of the sample
+    is taken whatever its size. Ids without a text in ``docs`` teach nothing.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     labels = labelled.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("id").agg(F.max("label").alias("label"))
-    sample = labels.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
-    sample = spark.createDataFrame(sample.collect(), "id long, label int")  # sample_rows at most
-    texts = _documents(docs, id_col, text_col)
-    examples = texts.join(F.broadcast(sample), "id").select("id", "text", "label")
-
-    def count_terms(batches):
-        for part in _parts(batches, 1):
-            label = np.asarray(part.column(2))
-            row, term, _ = terms_of(part.column(1))
-            term, which = np.unique(term, return_inverse=True)
-            hits = np.bincount(which, label[row], minlength=len(term)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(np.bincount(which, minlength=len(term))), pa.array(hits)], ["term", "n", "toxic"])
-
-    total = examples.agg(F.count(F.lit(1)), F.sum("label")).first()
-    n, toxic = float(total[0]), float(total[1] or 0)
-    counts = examples.mapInArrow(count_terms, "term long, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-    base = toxic / n if n else 0.0
-    odds = (F.col("toxic") + F.lit(PRIOR_ROWS * base)) / (F.col("n") - F.col("toxic") + F.lit(PRIOR_ROWS * (1 - base)))
-    strength = F.abs(F.log(odds * F.lit((1 - base) / base))) if 0 < base < 1 else F.lit(0.0)  # with one label nothing tells terms apart
-    picked = counts.withColumn("strength", strength).where(F.col("strength") >= float(np.log(min_odds)))
-    chosen = sorted((np.int64(r["term"]).view(np.uint64), r["strength"]) for r in picked.orderBy(F.desc("strength"), "term").limit(max_terms).collect())  # max_terms at most
-    terms, strength = np.array([t for t, _ in chosen], np.uint64), np.array([x for _, x in chosen], float)
+    order = [F.xxhash64("id"), F.col("id")]
+    sample = spark.createDataFrame(labels.orderBy(*order).limit(sample_rows).collect(), "id long, label int")  # sample_rows at most
+    texts = _documents(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    one = texts.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    one = written(one, "toxic-examples")
+    sized = one.select("id", F.octet_length("text").cast("long").alias("n")).orderBy(*order).collect()  # sample_rows at most
+    ends = np.cumsum([r["n"] for r in sized], dtype=np.int64)
+    chosen = [r["id"] for r, end in zip(sized, ends, strict=True) if end <= sample_bytes or r is sized[0]]
+    kept = one.join(F.broadcast(spark.createDataFrame([(i,) for i in chosen], "id long")), "id", "left_semi").orderBy("id").toArrow()  # sample_bytes at most
+    ids, labels = kept.column("id").to_pylist(), np.array(kept.column("label").to_pylist(), np.int64)
+    column = kept.column("text").combine_chunks().cast(pa.string())
+    row, term, _ = terms_of(column)
+    terms, which = np.unique(term, return_inverse=True)
+    strength = term_strength(np.bincount(which, minlength=len(terms)), np.bincount(which, labels[row], minlength=len(terms)), len(ids), int(labels.sum()))
     words = spark.sparkContext.broadcast(Vocabulary(terms, np.ones(len(terms))))
 
     def count_documents(batches):
-        seen, rows = np.zeros(len(words.value.terms) + 1, np.int64), 0
+        seen = np.zeros(len(words.value.terms) + 1, np.int64)
         for part in _parts(batches, 1):
-            _, at, _, n_rows = words.value.known(part.column(1))
-            seen += np.bincount(at, minlength=len(seen))
-            rows += n_rows
-        seen[-1] = rows  # the last place counts the documents
+            at = words.value.places(terms_of(part.column(1))[1])
+            seen += np.bincount(at[at >= 0], minlength=len(seen))
+            seen[-1] += part.num_rows  # the last place counts the documents
         own = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(seen[own])], ["at", "n"])
+        for a in range(0, len(own), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(own[a : a + (1 << 16)].astype(np.int32)), pa.array(seen[own[a : a + (1 << 16)]])], ["at", "n"])
 
     df = np.zeros(len(terms) + 1)
-    for r in texts.mapInArrow(count_documents, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # a row a term
-        df[r["at"]] = r["n"]
-    vocabulary = Vocabulary(terms, (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * strength**2)
-    sent = spark.sparkContext.broadcast(vocabulary)
-
-    def vectors(batches):
-        for part in _parts(batches, 1):
-            found = sent.value.vectors(part.column(1))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([a.astype(np.int64).tobytes() for a, _ in found], pa.binary()), pa.array([w.tobytes() for _, w in found], pa.binary())], ["id", "label", "at", "weight"])
-
-    rows = sorted(examples.mapInArrow(vectors, "id long, label int, at binary, weight binary").collect())  # sample_rows at most
-    made = [(np.frombuffer(r["at"], np.int64), np.frombuffer(r["weight"], np.float32)) for r in rows]
-    index = Examples(made, [r["label"] for r in rows], [r["id"] for r in rows], len(terms), k)
-    entry_of = {}
-    for e in range(len(index.n)):
-        entry_of[int(index.doc[e])] = e
-    keys, votes = {}, []
-    for (at, weight), r in zip(made, rows, strict=True):  # an entry's place is that of its smallest document
-        key = at.tobytes() + weight.tobytes()
-        if key and key not in keys:
-            keys[key] = entry_of[r["id"]]
-        memo = (keys.get(key, -1), r["label"])
-        votes.append(memo)
+    counted = texts.mapInArrow(count_documents, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # a row a term
+    df[np.asarray(counted.column("at"))] = np.asarray(counted.column("n"))
+    idf = lambda n: np.log((1 + df[-1]) / (1 + n)) + 1
+    vocabulary = Vocabulary(terms, idf(df[:-1]) * (1 + strength**2), float(idf(1.0)))
+    vectors = vocabulary.vectors(column)
+    index = Examples(vectors, labels.tolist(), ids, len(terms), k)
     cached: dict = {}
-    for i, ((at, weight), memo) in enumerate(zip(made, list(votes), strict=True)):
-        if memo not in cached:
-            cached[memo] = index.vote(at, weight, memo)[0]
-        votes[i] = cached[memo]
-    rarer = int(min(toxic, n - toxic))  # bins that the rarer label can fill, or no score could pass 0.5
-    x, y = monotone(np.array(votes, float), np.array([r["label"] for r in rows], float), least=min(20, max(1, rarer // 2)))
+    for (at, weight), own in zip(vectors, zip(index.of.tolist(), labels.tolist(), strict=True), strict=True):
+        if own not in cached:
+            cached[own] = index.vote(at, weight, own)[0]
+    votes = np.array([cached[own] for own in zip(index.of.tolist(), labels.tolist(), strict=True)], float)
+    rarer = int(min(labels.sum(), len(labels) - labels.sum()))  # bins that the rarer label can fill, or no score could pass 0.5
+    x, y = monotone(votes, labels.astype(float), least=min(20, max(1, rarer // 2)))
     return Model(vocabulary, index, x, y)
 
 
@@ -293,7 +305,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for part in (p for batch in batches for p in cut_rows(batch, texts_of(batch), _PART_BYTES)):
             scores, why = [], []
             for at, weight in m.vocabulary.vectors(texts_of(part)):
-                key = at.tobytes() + weight.tobytes()
+                key = xxh3_128_digest(at.tobytes() + weight.tobytes())
                 if key not in memo:
                     if len(memo) > _MEMO:
                         memo.clear()
