@@ -72,10 +72,10 @@ def _eights(data: np.ndarray, roomy: bool = False) -> np.ndarray:
     return np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
 
 
-def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 42) -> np.ndarray:
     """The hash of each ``data[start:end]``."""
     size, eights = ends - starts, _eights(data)
-    out = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    out = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
     left, at = np.flatnonzero((size > 0) & (size <= LONG)), 0
     while len(left):
         now = eights[starts[left] + at] & _LOW_BYTES[np.minimum(size[left] - at, 8)]
@@ -83,7 +83,7 @@ def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         at += 8
         left = left[size[left] > at]
     for i in np.flatnonzero(size > LONG).tolist():
-        out[i] = xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), 42)
+        out[i] = xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), seed)
     return out
 
 
@@ -142,8 +142,8 @@ def folded_bytes(punctuation: bool = True) -> np.ndarray:
     return out
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of the words of all rows, and the offsets of the rows in them. fold: what each byte counts as."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None = None, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of all rows, and the offsets of the rows in them. fold: what each byte counts as. Hashes of two seeds are two independent ones."""
     found, counts = [], np.zeros(len(offsets) - 1, np.int64)
     for row, end, at, cut in _slices(data, offsets):
         piece = data[at:cut]
@@ -151,7 +151,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray | None =
             piece = fold[piece]
         local = np.clip(offsets[row : end + 1] - at, 0, cut - at)
         starts, ends = word_bounds(piece, local)
-        found.append(hashed(piece, starts, ends))
+        found.append(hashed(piece, starts, ends, seed))
         counts[row:end] += np.diff(np.searchsorted(starts, local))
     return (np.concatenate(found) if found else np.zeros(0, np.uint64)), np.concatenate([[0], np.cumsum(counts)])
 

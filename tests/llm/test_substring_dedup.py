@@ -1,6 +1,9 @@
 import random
 import re
 
+import numpy as np
+from test_wordspans import twins
+
 from lodestrata.llm import substring_dedup
 
 
@@ -62,3 +65,51 @@ def test_null_and_equal_ids(make_docs):
 
 def test_empty_table(make_docs):
     assert substring_dedup.repeated_spans(make_docs([])).count() == 0
+
+
+def test_factors_are_copies_of_earlier_documents(make_docs):
+    texts = shared_texts(8, 60)
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t) for t in texts]
+    for size in (4 << 20, 2000):
+        n = 0
+        for r in substring_dedup.repeated_spans(make_docs(texts), window=20, block_bytes=size).collect():
+            covered = set()
+            for start, end, source, source_start in r["factors"]:
+                assert source < r["doc_id"] and end - start >= 20
+                assert split[r["doc_id"]][start:end] == split[source][source_start : source_start + end - start]
+                covered.update(range(start, end))
+                n += 1
+            assert covered == {i for a, b in r["spans"] for i in range(a, b)}
+            assert all(a[1] < b[0] for a, b in zip(r["spans"], r["spans"][1:]))
+        assert n > 20
+
+
+def test_phrases_with_one_equal_hash_are_told_apart():
+    u = lambda x: np.array(x, np.uint64)
+    key, check, doc = u([5, 5, 5, 5, 9, 9]), u([1, 2, 1, 2, 3, 3]), np.array([4, 3, 2, 6, 8, 7])
+    assert substring_dedup._sources(key, check, doc).tolist() == [2, 1, 2, 1, 5, 5]
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        key, check, doc = u(rng.integers(0, 4, 30)), u(rng.integers(0, 3, 30)), rng.integers(0, 9, 30)
+        for i, s in enumerate(substring_dedup._sources(key, check, doc).tolist()):
+            same = [j for j in range(30) if key[j] == key[i] and check[j] == check[i]]
+            assert s == min(same, key=lambda j: (doc[j], j))
+
+
+def test_windows_that_differ_in_words_of_equal_sums_of_powers(make_docs):
+    a, b = twins(2048)
+    shared = [str(i) for i in range(60)]
+    check(make_docs, [" ".join([*shared[:30], a, *shared[30:]]), " ".join([*shared[:30], b, *shared[30:]])], 50)
+    check(make_docs, [" ".join([*shared[:30], a, *shared[30:]])] * 2, 50)
+
+
+def test_slim_numbers():
+    rng = np.random.default_rng(0)
+    for values in (np.zeros(0, np.int64), np.array([-1]), rng.integers(-(2**62), 2**62, 1000), np.array([np.iinfo(np.int64).max, 0, -1])):
+        assert (substring_dedup._full(substring_dedup._slim(values)) == values).all()
+
+
+def test_extra_columns_and_repeated_rows(make_docs):
+    text = " ".join(map(str, range(70)))
+    found = substring_dedup.repeated_spans(make_docs([(1, text), (2, text), (2, text)])).collect()
+    assert sorted((r["doc_id"], r["kept"] == "") for r in found) == [(1, False), (2, True), (2, True)]
