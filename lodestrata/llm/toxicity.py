@@ -11,9 +11,11 @@ all terms of a text; one that no example has weighs like a neutral term of a sin
 
 Index: examples with equal vectors are one entry with its counts of labels. Entries with the same
 heaviest term lie together in blocks of ``BLOCK``; for each term and block in which it occurs, the
-greatest weight and the place of its postings are kept. A query adds the greatest weights up to a bound
-for each block, scores the blocks of the highest bounds, and then reads postings of no other block but
-those whose bound reaches the ``k``-th best cosine found.
+greatest weight and the place of its postings are kept. Terms of a tenth of the entries or more have a
+full row each instead; a product of matrices adds those up for many queries at once. A block's bound
+is the greatest such sum in it plus the greatest weights of all other terms. A query scores the blocks
+of the highest bounds, and then reads postings of no other block but those whose bound reaches the
+``k``-th best cosine found.
 
 Scoring: the ``k`` nearest entries vote for their label, weighted by cosine / (distance + ``SOFT``), so
 that a far neighbour alone decides nothing against the base rate. A monotone curve fitted to the
@@ -37,8 +39,8 @@ from .storage import written
 from .wordspans import folded_bytes, utf8, word_hashes
 
 SAMPLE_ROWS, SAMPLE_BYTES, PRIOR_ROWS, NEIGHBOURS = 5_000, 32 << 20, 2.0, 25
-BLOCK, SOFT, PRIOR, DIGITS = 64, 0.05, 1.0, 9
-_PART_BYTES, _MEMO, _SIEVE_BITS = 2 << 20, 4_000, 22
+BLOCK, COMMON, SOFT, PRIOR, DIGITS = 64, 10, 0.05, 1.0, 9
+_PART_BYTES, _MEMO, _TOGETHER, _SIEVE_BITS = 2 << 20, 4_000, 64, 22
 
 
 def terms_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,9 +117,16 @@ class Examples:
         self.of = np.array([place.get(key, -1) for key in keys], np.int64)  # the entry of each example; -1: no terms
         listed = [entries[key] for key in listed]
         self.n, self.toxic, self.doc = (np.array([e[i] for e in listed], np.int64) for i in (2, 3, 4))
-        entry = np.repeat(np.arange(len(listed), dtype=np.int32), np.array([len(e[0]) for e in listed], np.int64))
+        entry = np.repeat(np.arange(len(listed)), np.array([len(e[0]) for e in listed], np.int64))
         term = np.concatenate([e[0] for e in listed]) if listed else np.zeros(0, np.int64)
         weight = np.concatenate([e[1] for e in listed]) if listed else np.zeros(0)
+        common = np.flatnonzero(np.bincount(term, minlength=n_terms) * COMMON >= max(1, len(listed)))
+        self.row_of = np.full(n_terms, -1, np.int64)
+        self.row_of[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), len(listed)))
+        own = self.row_of[term] >= 0
+        self.rows[self.row_of[term[own]], entry[own]] = weight[own]
+        entry, term, weight = entry[~own], term[~own], weight[~own]
         order = np.lexsort((entry, term))
         self.entry, self.weight, term = entry[order], weight[order], term[order]
         block = self.entry // BLOCK
@@ -127,47 +136,63 @@ class Examples:
         self.part_most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
         self.cuts = np.searchsorted(term[first], np.arange(n_terms + 1))
         self.blocks = -(-len(listed) // BLOCK)
+        self.block_start = np.arange(self.blocks) * BLOCK
         self.base = (self.toxic.sum() + self.blank[1]) / max(1, self.n.sum() + self.blank[0])
         self.postings_read = 0
 
-    def _add(self, scores: np.ndarray, parts: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> None:
-        """Adds up exact cosines of all entries of some blocks."""
+    def common_sums(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """For each vector and entry the part of the cosine that comes from terms with full rows."""
+        q = np.zeros((len(vectors), len(self.rows)))
+        for i, (at, weight) in enumerate(vectors):
+            row = self.row_of[at]
+            q[i, row[row >= 0]] = weight[row >= 0]
+        return q @ self.rows
+
+    def _add(self, scores: np.ndarray, parts: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Scores with the postings of some blocks added up."""
         wanted = np.zeros(self.blocks, bool)
         wanted[blocks] = True
         own = wanted[self.part_block[parts]]
         parts, weight = parts[own], weight[own]
-        at = _ranges(self.part_start[parts], self.part_size[parts])
+        size = self.part_size[parts]
+        at = _ranges(self.part_start[parts], size)
         self.postings_read += len(at)
-        scores += np.bincount(self.entry[at], np.repeat(weight, self.part_size[parts]) * self.weight[at], minlength=len(scores))
+        return scores + np.bincount(self.entry[at], np.repeat(weight, size) * self.weight[at], minlength=len(scores))
 
-    def nearest(self, at: np.ndarray, weight: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` entries of greatest cosine over zero, to ``DIGITS`` digits (ties: the smallest document), and the cosines; one more if ``skip`` is given."""
+    def nearest(self, at: np.ndarray, weight: np.ndarray, skip: int = -1, sums: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` entries of greatest cosine over zero, to ``DIGITS`` digits (ties: the smallest document), and the cosines; one more if ``skip`` is given. sums: the vector's ``common_sums``."""
         k = self.k + (skip >= 0)
+        if not len(self.n):
+            return np.zeros(0, np.int64), np.zeros(0)
+        scores = self.common_sums([(at, weight)])[0] if sums is None else sums
         size = self.cuts[at + 1] - self.cuts[at]
         parts, weight = _ranges(self.cuts[at], size), np.repeat(weight, size)
-        bound = np.bincount(self.part_block[parts], weight * self.part_most[parts], minlength=self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        scores, done = np.zeros(len(self.n)), 1 + -(-k // BLOCK)
-        self._add(scores, parts, weight, order[:done])
-        floor = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
+        bound = np.maximum.reduceat(scores, self.block_start) + np.bincount(self.part_block[parts], weight * self.part_most[parts], minlength=self.blocks)
+        order, done = np.argsort(-bound, kind="stable"), 1 + -(-k // BLOCK)
+        full = np.zeros(self.blocks, bool)
+        full[order[:done]] = True
+        scores = np.where(np.repeat(full, BLOCK)[: len(scores)], self._add(scores, parts, weight, order[:done]), scores)
+        known = scores[np.repeat(full, BLOCK)[: len(scores)]]
+        floor = np.partition(known, -k)[-k] if len(known) > k else 0.0
         rest = order[done:]
         rest = rest[(bound[rest] > 0) & (bound[rest] >= floor - 10.0**-DIGITS)]
         if len(rest):
-            self._add(scores, parts, weight, rest)
-        scores = np.round(scores, DIGITS)
+            scores = self._add(scores, parts, weight, rest)
+            full[rest] = True
+        scores = np.where(np.repeat(full, BLOCK)[: len(scores)], np.round(scores, DIGITS), 0.0)  # other blocks have parts of cosines
         found = np.flatnonzero(scores > 0)
         if len(found) > k:
             found = found[scores[found] >= np.partition(scores[found], -k)[-k]]
         found = found[np.lexsort((self.doc[found], -scores[found]))][:k]
         return found, scores[found]
 
-    def vote(self, at: np.ndarray, weight: np.ndarray, own: tuple[int, int] | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+    def vote(self, at: np.ndarray, weight: np.ndarray, own: tuple[int, int] | None = None, sums: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
         """The weighted share of toxic examples among the nearest, drawn to the base rate by ``PRIOR``; own: (entry, label) to leave out."""
         skip, label = own if own else (-1, 0)
         if not len(at):
             n, toxic = self.blank[0] - (own is not None), self.blank[1] - label
             return (toxic + PRIOR * self.base) / (n + PRIOR), np.zeros(0, np.int64), np.zeros(0)
-        found, cosine = self.nearest(at, weight, skip)
+        found, cosine = self.nearest(at, weight, skip, sums)
         w = cosine / (np.maximum(0.0, 1 - cosine) + SOFT)
         n, toxic = self.n[found].astype(float), self.toxic[found].astype(float)
         if own:
@@ -271,11 +296,13 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     vocabulary = Vocabulary(terms, idf(df[:-1]) * (1 + strength**2), float(idf(1.0)))
     vectors = vocabulary.vectors(column)
     index = Examples(vectors, labels.tolist(), ids, len(terms), k)
-    cached: dict = {}
-    for (at, weight), own in zip(vectors, zip(index.of.tolist(), labels.tolist(), strict=True), strict=True):
-        if own not in cached:
-            cached[own] = index.vote(at, weight, own)[0]
-    votes = np.array([cached[own] for own in zip(index.of.tolist(), labels.tolist(), strict=True)], float)
+    owns = list(zip(index.of.tolist(), labels.tolist(), strict=True))
+    firsts, cached = list({own: i for i, own in enumerate(owns)}.values()), {}
+    for a in range(0, len(firsts), _TOGETHER):
+        part = firsts[a : a + _TOGETHER]
+        for i, sums in zip(part, index.common_sums([vectors[i] for i in part]), strict=True):
+            cached[owns[i]] = index.vote(*vectors[i], own=owns[i], sums=sums)[0]
+    votes = np.array([cached[own] for own in owns], float)
     rarer = int(min(labels.sum(), len(labels) - labels.sum()))  # bins that the rarer label can fill, or no score could pass 0.5
     x, y = monotone(votes, labels.astype(float), least=min(20, max(1, rarer // 2)))
     return Model(vocabulary, index, x, y)
@@ -304,16 +331,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         m, memo = sent.value, {}
         for part in (p for batch in batches for p in cut_rows(batch, texts_of(batch), _PART_BYTES)):
             scores, why = [], []
-            for at, weight in m.vocabulary.vectors(texts_of(part)):
-                key = xxh3_128_digest(at.tobytes() + weight.tobytes())
-                if key not in memo:
-                    if len(memo) > _MEMO:
-                        memo.clear()
-                    vote, found, cosine = m.examples.vote(at, weight)
-                    memo[key] = m.calibrated(vote), [{"doc_id": int(m.examples.doc[e]), "cosine": min(1.0, float(c)), "examples": int(m.examples.n[e]), "toxic": int(m.examples.toxic[e])} for e, c in zip(found[:evidence], cosine[:evidence], strict=True)]
-                s, e = memo[key]
-                scores.append(s)
-                why.append(e)
+            vectors = m.vocabulary.vectors(texts_of(part))
+            keys = [xxh3_128_digest(at.tobytes() + weight.tobytes()) for at, weight in vectors]
+            if len(memo) > _MEMO:
+                memo.clear()
+            new = {key: i for i, key in enumerate(keys) if key not in memo}
+            places = list(new.values())
+            for a in range(0, len(places), _TOGETHER):
+                own = places[a : a + _TOGETHER]
+                for i, sums in zip(own, m.examples.common_sums([vectors[i] for i in own]), strict=True):
+                    vote, found, cosine = m.examples.vote(*vectors[i], sums=sums)
+                    memo[keys[i]] = m.calibrated(vote), [{"doc_id": int(m.examples.doc[e]), "cosine": min(1.0, float(c)), "examples": int(m.examples.n[e]), "toxic": int(m.examples.toxic[e])} for e, c in zip(found[:evidence], cosine[:evidence], strict=True)]
+            for key in keys:
+                scores.append(memo[key][0])
+                why.append(memo[key][1])
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64()), pa.array(why, shape)], ["record", "score", "evidence"])
         memo.clear()
         release_memory()
