@@ -38,6 +38,17 @@ def existing_columns(frame: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return frame.select(*(c for c in wanted if c in frame.columns))
 
 
+def namespaced(frame: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
+    """All columns but ``keep`` under a prefix."""
+    return frame.withColumnsRenamed({c: f"{prefix}{c}" for c in frame.columns if c not in keep})
+
+
+def line_items(frame: DataFrame, renames: dict[str, str], defaults: dict[str, object], required: str) -> DataFrame:
+    """A view of line items: columns renamed (and only these), nulls by their defaults, rows whose ``required`` text is blank left out."""
+    rows = frame.select(*(F.col(old).alias(new) for old, new in renames.items())).fillna(defaults)
+    return rows.where(F.trim(F.coalesce(F.col(required), F.lit(""))) != "")
+
+
 def demand_empty(violations: DataFrame, message: str) -> None:
     """An error if there is any row, with up to five of them."""
     rows = violations.limit(5).collect()

@@ -25,6 +25,11 @@ def unique_combinations(frame: DataFrame, texts: Sequence[str], ids: Sequence[st
     return found if done is None else found.join(done, list(texts), "left_anti")
 
 
+def caseless(frame: DataFrame, column: str) -> DataFrame:
+    """The distinct values of a text in lower case, and how many rows each has: ``n`` over 1 means repeated seeds."""
+    return frame.groupBy(F.lower(column).alias(column)).agg(F.count(F.lit(1)).alias("n"))
+
+
 def overlap_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """How many distinct keys are in both, only left, only right: one row."""
     a, b = left.select(key).distinct().withColumn("__a", F.lit(True)), right.select(key).distinct().withColumn("__b", F.lit(True))
@@ -42,6 +47,12 @@ def unlabelled(frame: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFr
     return frame.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def import_judgments(pairs: DataFrame, earlier: DataFrame, keys: Sequence[str], value: str, at: str) -> DataFrame:
+    """``pairs`` with the latest earlier ``value`` of their keys and ``reused``: whether there is one; the others are left to judge."""
+    known = earlier.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.max_by(value, at).alias(value))
+    return pairs.join(known, list(keys), "left").withColumn("reused", F.col(value).isNotNull())
+
+
 def resolve_rounds(frame: DataFrame, keys: Sequence[str], value: str, round_col: str) -> DataFrame:
     """The latest round's value of each key, and whether rounds disagreed."""
     return frame.groupBy(*keys).agg(F.max_by(value, round_col).alias(value), (F.countDistinct(value) > 1).alias("conflict"), F.max(round_col).alias(round_col))

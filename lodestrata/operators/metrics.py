@@ -224,6 +224,23 @@ def bootstrap(frame: DataFrame, unit: str, value: str, draws: int, seed: str, le
     return means.agg(F.lit(n).alias("n_units"), F.count(F.lit(1)).alias("draws"), *(F.percentile("mean", p).alias(name) for p, name in zip(levels, ("low", "middle", "high"), strict=True)))
 
 
+def bootstrap_metric(frame: DataFrame, unit: str, metric, draws: int, seed: str, levels: Sequence[float] = (0.025, 0.5, 0.975)) -> DataFrame:
+    """Percentile interval of any metric over units (integers) drawn with replacement, clusters whole.
+
+    metric: a function of a table with the columns ``draw`` and ``weight`` (how often the unit was drawn) that returns
+    ``draw`` and ``value``, such as a weighted ``auroc`` by draw. Draws for which it is null don't count.
+    """
+    units = global_numbers(frame.select(unit).where(F.col(unit).isNotNull()).distinct(), unit, "place")
+    n = units.count()
+    if not n:
+        return frame.sparkSession.createDataFrame([], "n_units long, draws long, low double, middle double, high double")
+    picks = frame.sparkSession.range(draws * n).select((F.col("id") / n).cast("long").alias("draw"), (F.col("id") % n).alias("pick"))
+    picks = picks.select("draw", (hash_partition(n, seed, F.col("draw"), F.col("pick")) + 1).cast("long").alias("place")).groupBy("draw", "place").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    drawn = frame.join(units, unit).join(picks, "place").drop("place")
+    values = metric(drawn).where("value IS NOT NULL")
+    return values.agg(F.lit(n).cast("long").alias("n_units"), F.count(F.lit(1)).alias("draws"), *(F.percentile("value", p).alias(name) for p, name in zip(levels, ("low", "middle", "high"), strict=True)))
+
+
 def scenarios(hits: DataFrame, query: str, rank: str, relevant: str, score: str, k: int, least: float = 1.0) -> DataFrame:
     """Mean average precision at ``k`` of three lists: as ranked, those scored at least ``least``, and these re-ranked by score. Queries without rows in a list don't count in it."""
     kept = hits.where(F.col(score) >= least)

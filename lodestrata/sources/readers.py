@@ -15,12 +15,13 @@ from ..operators.contracts import ContractError
 WRAPPERS = ("records", "trialSpaces", "trial_spaces", "data")
 
 
-def read_clinical_csv(spark: SparkSession, path: str | Sequence[str], schema: str | None = None, separator: str = ",", encoding: str = "UTF-8") -> DataFrame:
+def read_clinical_csv(spark: SparkSession, path: str | Sequence[str], schema: str | None = None, separator: str = ",", encoding: str = "UTF-8", one_line: bool = False) -> DataFrame:
     """CSV whose text stays as it is: None, NA, N/A, null and NaN are text, only an empty cell is null.
 
-    Quoted cells may hold line ends. Without a schema all columns are text.
+    Quoted cells may hold line ends; one_line: none does, so a large file is read in splits. Without a
+    schema all columns are text.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("sep", separator).option("encoding", encoding).option("nullValue", "").option("emptyValue", "").option("nanValue", "\x00").option("inferSchema", False)
+    reader = spark.read.option("header", True).option("multiLine", not one_line).option("quote", '"').option("escape", '"').option("sep", separator).option("encoding", encoding).option("nullValue", "").option("emptyValue", "").option("nanValue", "\x00").option("inferSchema", False)
     frame = (reader.schema(schema) if schema else reader).csv(path if isinstance(path, str) else list(path))
     texts = {n for n, kind in frame.dtypes if kind == "string"}
     return frame.select(*(F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) if c in texts else F.col(f"`{c}`") for c in frame.columns))
@@ -77,6 +78,37 @@ def read_database(spark: SparkSession, url: str, tables: Sequence[str] | None =
     return {t: load(t) for t in tables}
 
 
+def cached_columns(spark: SparkSession, path: str, columns: Sequence[str], cache: str) -> DataFrame:
+    """Some columns of a table, kept in the folder ``cache`` as long as the table's size and time stay the same."""
+    import hashlib
+
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, facts = fs.listFiles(root, True), []
+    while files.hasNext():
+        status = files.next()
+        facts.append((status.getPath().getName(), status.getLen(), status.getModificationTime()))
+    key = hashlib.sha256(repr((path, sorted(columns), sorted(facts))).encode()).hexdigest()[:24]
+    kept = f"{cache.rstrip('/')}/{key}.parquet"
+    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(kept)):
+        from .writers import publish
+
+        publish(read_table(spark, path, columns), kept)
+    return spark.read.parquet(kept)
+
+
+def block_sample(spark: SparkSession, path: str, fraction: float, *seed) -> DataFrame:
+    """Rows of whole blocks (splits) of a Parquet or text table's files: a block is drawn by a hash of its file and start.
+
+    With ``block_file`` and ``block_start``. Blocks that aren't drawn are skipped by the scan's own rows, so a
+    sample costs their reading at most once; set ``spark.sql.files.maxPartitionBytes`` for the block size.
+    """
+    from ..functions.hashing import hash_fraction
+
+    rows = read_table(spark, path).select("*", F.col("_metadata.file_name").alias("block_file"), F.col("_metadata.file_block_start").alias("block_start"))
+    return rows.where(hash_fraction(*seed, F.col("block_file"), F.col("block_start")) < fraction)
+
+
 DATE_FIELDS = {"study_start": "startDateStruct", "primary_completion": "primaryCompletionDateStruct", "completion": "completionDateStruct", "study_first_post": "studyFirstPostDateStruct", "last_update_post": "lastUpdatePostDateStruct"}
 
 _DATED = ", ".join(f"{f}: struct<date: string, type: string>" for f in DATE_FIELDS.values())

@@ -18,7 +18,11 @@ def _path(spark: SparkSession, path: str):
 
 
 def publish(frame: DataFrame, path: str, fmt: str = "parquet", **options) -> str:
-    """Writes beside ``path`` and renames at the end: readers see the old table or the new one. Works on any Hadoop file system."""
+    """Writes beside ``path`` and renames at the end, on any Hadoop file system: readers never see a table in part.
+
+    A first publication is one rename. Where a table stands already it is moved aside first, so for that
+    moment there is none; if the new one can't take its place, the old one is put back.
+    """
     spark = frame.sparkSession
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
     writer = frame.write.format(fmt)
@@ -31,6 +35,9 @@ def publish(frame: DataFrame, path: str, fmt: str = "parquet", **options) -> str
     if fs.exists(target):
         fs.rename(target, old)
     if not fs.rename(source, target):
+        if fs.exists(old):
+            fs.rename(old, target)
+        fs.delete(source, True)
         raise ContractError(f"could not publish {path}")
     if fs.exists(old):
         fs.delete(old, True)
@@ -69,9 +76,40 @@ def compose(spark: SparkSession, shards: Sequence[str], path: str, expected: int
     return publish(frame.orderBy(order) if order else frame, path)
 
 
-def append_journal(frame: DataFrame, path: str) -> None:
-    """Entries added to a journal; what stands there stays."""
-    frame.write.mode("append").json(path)
+def append_journal(frame: DataFrame, path: str, batch: str | None = None) -> bool:
+    """Entries added to a journal; what stands there stays. Returns whether any were added.
+
+    batch: a name for these entries, kept in the column ``batch``. They come with one rename, and a batch that
+    stands already isn't added again, so a job may be repeated after a failure.
+    """
+    if batch is None:
+        frame.write.mode("append").json(path)
+        return True
+    target, fs = _path(frame.sparkSession, f"{path.rstrip('/')}/batch={batch}")
+    if fs.exists(target):
+        return False
+    staged = f"{path.rstrip('/')}/.staged-{uuid.uuid4().hex}"  # names that begin with a point aren't read
+    frame.write.json(staged)
+    if not fs.rename(_path(frame.sparkSession, staged)[0], target):
+        fs.delete(_path(frame.sparkSession, staged)[0], True)
+        return False
+    return True
+
+
+def html_report(frame: DataFrame, path: str, title: str, order: Sequence[str]) -> str:
+    """A table as an HTML page of one file, for reports: its rows must be few enough to read. Text is escaped."""
+    def escaped(c: Column) -> Column:
+        text = F.coalesce(c.cast("string"), F.lit(""))
+        for plain, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+            text = F.replace(text, F.lit(plain), F.lit(name))
+        return text
+
+    row = F.concat(F.lit("<tr>"), *(F.concat(F.lit("<td>"), escaped(F.col(f"`{c}`")), F.lit("</td>")) for c in frame.columns), F.lit("</tr>"))
+    head = F.concat(F.lit("<!doctype html><meta charset=utf-8><title>"), escaped(F.lit(title)), F.lit("</title><table><tr>"), *(F.concat(F.lit("<th>"), escaped(F.lit(c)), F.lit("</th>")) for c in frame.columns), F.lit("</tr>"))
+    rows = frame.select(F.struct(*order).alias("__place"), row.alias("value")).orderBy("__place").select("value")
+    first = frame.sparkSession.range(1).select(head.alias("value"))
+    last = frame.sparkSession.range(1).select(F.lit("</table>").alias("value"))
+    return publish(first.union(rows).union(last).coalesce(1), path, "text")
 
 
 def export_both(frame: DataFrame, path: str) -> list[str]:
