@@ -23,9 +23,13 @@ BLOCK_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 16 MB, unless the session says otherwise: 10,000 long texts are too many for one."""
+    """Arrow batches of at most 4 MB, unless the session says otherwise: 10,000 long texts are too many for one.
+
+    A batch is held several times over, in the JVM's native memory and in the worker's, by each running task.
+    The setting is read when a job runs, not when it is planned, so it can't be given back here.
+    """
     if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def release_memory() -> None:
@@ -62,6 +66,22 @@ def cut_rows(batch: pa.RecordBatch, column: int | pa.Array, most: int) -> Iterat
         at = end
 
 
+def blocks_of(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of one batch after another in blocks of up to ``most`` bytes in a text column; one row at least."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in cut_rows(batch, column, max(1, most // 4)):
+            own = pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+            if held and size + own > most:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            held.append(part)
+            size += own
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def packed(batch: pa.RecordBatch) -> bytes:
     """A batch as compressed Arrow bytes."""
     sink = pa.BufferOutputStream()
@@ -81,8 +101,8 @@ def pack_documents(docs: DataFrame, id_col: str, text_col: str, block_bytes: int
 
     def run(batches):
         ids = block_ids()
-        for batch in batches:
-            for part in cut_rows(batch, 1, block_bytes):
-                yield pa.RecordBatch.from_arrays([pa.array([next(ids)]), pa.array([packed(part)], pa.binary())], ["block", "payload"])
+        for part in blocks_of(batches, 1, block_bytes):
+            yield pa.RecordBatch.from_arrays([pa.array([next(ids)]), pa.array([packed(part)], pa.binary())], ["block", "payload"])
+        release_memory()
 
     return picked.mapInArrow(run, "block long, payload binary")

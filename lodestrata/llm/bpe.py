@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import block_ids, bounded_batches, buckets, cut_rows, packed, release_memory, unpacked
+from .blocks import block_ids, blocks_of, bounded_batches, buckets, packed, release_memory, unpacked
 from .storage import written
 
 BLOCK_BYTES, BUCKET_TEXT = 12 << 20, 64 << 20
@@ -176,9 +176,8 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 
     def split(batches):
         ids, words = block_ids(), splitter(path)
-        for batch in batches:
-            for part in cut_rows(batch, 1, block_bytes):
-                yield from _split_block(part, words, next(ids), n)
+        for part in blocks_of(batches, 1, block_bytes):
+            yield from _split_block(part, words, next(ids), n)
         release_memory()
 
     found = picked.mapInArrow(split, "block long, bucket int, documents binary, positions binary, buckets binary, words binary")
