@@ -25,6 +25,9 @@ _GREY = bytes(np.repeat(np.arange(256, dtype=np.uint8), 3))
 _CLEAR, _END, _MOST = 256, 257, 4096
 
 
+MOST_POINTS = 1 << 26  # 256 MB of canvas
+
+
 class GifError(ValueError):
     """Bytes that are not a whole GIF."""
 
@@ -171,11 +174,13 @@ def _rows_of(height: int) -> np.ndarray:
     return np.concatenate([np.arange(a, height, b) for a, b in ((0, 8), (4, 8), (2, 4), (1, 2))])
 
 
-def decode(data: bytes) -> Iterator[Frame]:
-    """The frames of a GIF, one at a time."""
+def decode(data: bytes, most_points: int = MOST_POINTS) -> Iterator[Frame]:
+    """The frames of a GIF, one at a time. A canvas or frame of more than ``most_points`` is an error, as is any cut or wrong part."""
     if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         raise GifError("no GIF header")
     wide, high, flags, _, _ = struct.unpack_from("<HHBBB", data, 6)
+    if wide * high > most_points:
+        raise GifError(f"a canvas of {wide} x {high}")
     at = 13
 
     def palette(bits: int) -> np.ndarray:
@@ -223,6 +228,8 @@ def decode(data: bytes) -> Iterator[Frame]:
                 raise GifError("a cut image")
             left, top, w, h, mark = struct.unpack_from("<HHHHB", data, at)
             at += 9
+            if w * h > most_points:
+                raise GifError(f"an image of {w} x {h}")
             colours = palette(mark & 7) if mark & 0x80 else common
             if colours is None:
                 raise GifError("no palette")

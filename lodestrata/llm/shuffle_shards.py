@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 SEED, BUCKET_BYTES, OVERHEAD = 42, 4 << 20, 8
 
@@ -34,33 +35,37 @@ def fisher_yates(n: int, seed: tuple[int, ...]) -> np.ndarray:
     return np.array(order, np.int64)
 
 
-def write_shards(docs: DataFrame, out: str, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> str:
+def write_shards(docs: DataFrame, out: str, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> StructType:
     """Writes whole records (column ``record``, all columns of ``docs``) to ``out``/shard=s with ``bucket`` and ``place``; returns the table's schema.
 
     Null ids and texts are records like any other. Records that repeat an id share its shard and are
-    scattered over its buckets by their text; wholly equal records share a bucket. An empty table
-    gives an empty one.
+    scattered over its buckets by all their columns; only wholly equal ones, that nothing tells apart,
+    share a bucket, in whatever order. Buckets are sized by whole records (texts by their bytes, other
+    columns by their JSON form). An empty table gives an empty one.
     """
     record = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("record"))
     key, text = F.col("record")[id_col], F.col("record")[text_col].cast("string")
-    sized = record.select("record", shard_of(key, shards, seed).alias("shard"), F.xxhash64(key, text).alias("tie"), (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long").alias("size"))
+    others = [F.col("record")[c] for c in docs.columns if c not in (id_col, text_col)]
+    rest = F.coalesce(F.octet_length(F.to_json(F.struct(*(c.alias(f"c{i}") for i, c in enumerate(others))))), F.lit(0)) if others else F.lit(0)
+    plain = [F.to_json(F.struct(c.alias("c"))) if "map<" in kind else c for c, kind in ((F.col("record")[n], t) for n, t in docs.dtypes)]
+    sized = record.select("record", shard_of(key, shards, seed).alias("shard"), F.xxhash64(*plain).alias("tie"), F.xxhash64(F.lit(seed), *plain).alias("tie2"), (F.coalesce(F.octet_length(text), F.lit(0)) + rest + OVERHEAD).cast("long").alias("size"))
     totals = {r["shard"]: r["n"] for r in sized.groupBy("shard").agg(F.sum("size").alias("n")).collect()}  # a row a shard
     buckets = F.element_at(F.create_map(*(F.lit(x) for s in range(shards) for x in (s, max(1, -(-totals.get(s, 0) // bucket_bytes))))), F.col("shard"))
-    scattered = sized.select("record", "shard", "tie", F.pmod(F.xxhash64("tie", F.lit(seed + 1)), buckets.cast("long")).cast("int").alias("bucket"))
+    scattered = sized.select("record", "shard", "tie", "tie2", F.pmod(F.xxhash64("tie", F.lit(seed + 1)), buckets.cast("long")).cast("int").alias("bucket"))
 
     def shuffle(table: pa.Table) -> pa.Table:
-        table = table.take(pc.sort_indices(table, [("tie", "ascending")]))
+        table = table.take(pc.sort_indices(table, [("tie", "ascending"), ("tie2", "ascending")]))
         order = fisher_yates(table.num_rows, (seed, table["shard"][0].as_py(), table["bucket"][0].as_py())) if table.num_rows else np.zeros(0, np.int64)
         table = table.take(pa.array(order))
         return pa.table({"bucket": table["bucket"], "place": pa.array(np.arange(table.num_rows, dtype=np.int32)), "record": table["record"], "shard": table["shard"]})
 
-    shape = f"bucket int, place int, record {scattered.schema['record'].dataType.simpleString()}, shard int"
+    shape = StructType().add("bucket", IntegerType()).add("place", IntegerType()).add(scattered.schema["record"]).add("shard", IntegerType())
     shuffled = scattered.groupBy("shard", "bucket").applyInArrow(shuffle, shape)
     shuffled.write.partitionBy("shard").option("compression", "zstd").parquet(out)
     return shape
 
 
-def read_shards(spark: SparkSession, out: str, schema: str | None = None) -> DataFrame:
+def read_shards(spark: SparkSession, out: str, schema: StructType | None = None) -> DataFrame:
     """``shard``, ``bucket``, ``place`` and ``record`` of written shards; with the schema, also of none."""
     return (spark.read.schema(schema) if schema else spark.read).parquet(out)
 

@@ -32,6 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 from xxhash import xxh3_128_digest
 
 from .blocks import bounded_batches, cut_rows, release_memory
@@ -349,7 +350,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         memo.clear()
         release_memory()
 
-    return record.mapInArrow(run, f"record {record.schema['record'].dataType.simpleString()}, score double, evidence {EVIDENCE}")
+    return record.mapInArrow(run, StructType().add(record.schema["record"]).add("score", DoubleType()).add("evidence", StructType.fromDDL(f"e {EVIDENCE}")["e"].dataType))
 
 
 def training_rows(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

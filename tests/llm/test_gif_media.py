@@ -144,3 +144,10 @@ def test_nulls_and_errors(spark, make_docs):
     found = {r["doc_id"]: r for r in g.media_columns(media).collect()}
     assert found[1]["error"] is None and found[1]["frames"] is None and found[2]["error"] == "no GIF header"
     assert g.store_texts(make_docs([])).count() == 0
+
+
+def test_hostile_canvas_is_an_error():
+    for head in (struct.pack("<HH", 65_535, 65_535), struct.pack("<HH", 1, 1)):
+        data = b"GIF89a" + head + b"\x80\x00\x00" + bytes(6) + b"\x2c" + struct.pack("<HHHHB", 0, 0, 65_535, 65_535, 0) + b"\x02\x01\x00\x00;"
+        with pytest.raises(g.GifError):
+            list(g.decode(data))

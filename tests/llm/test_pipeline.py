@@ -52,3 +52,14 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, make_docs, odd_texts, t
             assert docs.columns == first.columns and dict(docs.dtypes) == dict(first.dtypes)
         docs = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
         assert docs.count() <= first.count()
+
+
+def test_rows_that_share_an_id_and_odd_column_names(spark, tmp_path):
+    rows = [(1, "a wholly different text about rivers and mountains in spring", 5, 6, 7), (1, "nothing of that kind stands here at all today", 8, 9, 10), (2, "another one", 11, 12, 13)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tie int, row int, `a.b` int")
+    assert sorted(map(tuple, corpus_pipeline.drop_near_copies(spark, docs, "").collect())) == sorted(rows)
+    labels = spark.createDataFrame([(1, 0, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).columns == docs.columns
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, tie int, row int, `a.b` int, n_chars long")
+    assert corpus_pipeline.drop_repeated_lines(spark, docs, "").columns == docs.columns
