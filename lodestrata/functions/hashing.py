@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,10 +41,6 @@ def split_of(fraction: Column, train: float = 0.8, validation: float = 0.1) -> C
 
 def blake_fraction(*parts: Column) -> Column:
     """A draw in [0, 1) from the 64-bit BLAKE2b of the parts, joined by NUL (for tables drawn that way elsewhere)."""
-    import hashlib
-
-    import pandas as pd
-
     @F.pandas_udf("double")
     def run(joined: pd.Series) -> pd.Series:
         return joined.map(lambda x: None if x is None else int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big") / 2**64).astype("float64")
@@ -50,10 +50,6 @@ def blake_fraction(*parts: Column) -> Column:
 
 def name_uuid(namespace: str, *parts: Column) -> Column:
     """Version 5 UUIDs of the parts, joined by colons, under a namespace UUID."""
-    import uuid
-
-    import pandas as pd
-
     space = uuid.UUID(namespace)
 
     @F.pandas_udf("string")

@@ -111,6 +111,21 @@ def quote_found(quote: Column, source: Column) -> Column:
     return pieces_found(quote_pieces(quote), tidy(source))
 
 
+def quote_seed(pieces: Column, most: int = 3) -> Column:
+    """Up to ``most`` whole words from inside a quote's first piece, joined by blanks: a text that holds the quote has them in a row.
+
+    The first and last word of a piece may be parts of longer words, so they aren't used; empty if there are none between.
+    """
+    inside = F.split(pieces[0], " ")
+    return F.when(F.size(pieces) > 0, F.array_join(F.slice(inside, F.lit(2), F.least(F.lit(most), F.greatest(F.size(inside) - 2, F.lit(0)))), " ")).otherwise("")
+
+
+def word_runs(text: Column, n: int) -> Column:
+    """The distinct runs of ``n`` words of a tidy text."""
+    parts = F.split(text, " ")
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(parts) - n, F.lit(0))), lambda i: F.array_join(F.slice(parts, i + 1, n), " ")))
+
+
 def words(text: Column) -> Column:
     """Runs of letters, digits and underscores, in lower case."""
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import running_totals
+
 
 def fill_from_map(frame: DataFrame, lookup: DataFrame, key: str, column: str, value: str, provenance: str, own: str = "own", filled: str = "lookup") -> DataFrame:
     """Nulls of ``column`` filled from ``lookup`` (key, value), and where each value came from."""
@@ -41,13 +43,36 @@ def before_cutoff(reports: DataFrame, events: DataFrame, person: str, date: str,
 
 
 def nearest_in_band(left: DataFrame, right: DataFrame, on: Sequence[str], left_date: str, right_date: str, low: int, high: int, keys: Sequence[str]) -> DataFrame:
-    """For each row of ``left`` (by ``keys``) the row of ``right`` whose date lies within low..high days of its own, nearest first, then earliest."""
+    """For each row of ``left`` (by ``keys``) the row of ``right`` whose date lies within low..high days of its own, nearest first, then earliest.
+
+    Days are cut into steps as long as the band, and a band meets two of them at most: rows pair within a
+    key's steps, not all of a key's rows.
+    """
+    width, day = high - low + 1, lambda c: F.unix_date(F.to_date(c))
+    step = lambda d: F.floor(d / F.lit(width))
+    steps = F.explode(F.array_distinct(F.array(step(day(left_date) + low), step(day(left_date) + high))))
     gap = F.datediff(F.col(right_date), F.col(left_date))
-    joined = left.join(right, list(on)).withColumn("gap_days", gap).where(F.col("gap_days").between(low, high))
+    joined = left.withColumn("__step", steps).join(right.withColumn("__step", step(day(right_date))), [*on, "__step"]).drop("__step")
+    joined = joined.withColumn("gap_days", gap).where(F.col("gap_days").between(low, high))
     order = Window.partitionBy(*keys).orderBy(F.abs("gap_days"), F.col(right_date))
     return joined.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
 
 
+def open_counts(spans: DataFrame, days: DataFrame, opened: str, closed: str, day: str, n: str, name: str) -> DataFrame:
+    """``spans`` with the sum of ``n`` over the days from ``opened`` to ``closed``; a missing end never closes, a missing start was always open.
+
+    Running totals over the days and the ends of the spans: two equi joins instead of a range join.
+    """
+    number = lambda c: F.unix_date(F.col(c))
+    ends = [spans.select((number(opened) - 1).alias("__d"), F.lit(0).cast("long").alias("__n")), spans.select(number(closed).alias("__d"), F.lit(0).cast("long").alias("__n"))]
+    marks = days.select(number(day).alias("__d"), F.col(n).cast("long").alias("__n")).unionByName(ends[0]).unionByName(ends[1]).where("__d IS NOT NULL")
+    totals = running_totals(marks.groupBy("__d").agg(F.sum("__n").alias("__n")), "__d", ["__n"])
+    at = lambda own: totals.select(F.col("__d").alias(own), F.col("cum___n").alias(f"{own}_n"))
+    every = days.where(F.col(day).isNotNull()).agg(F.sum(n)).first()[0] or 0
+    met = spans.withColumn("__low", number(opened) - 1).withColumn("__high", number(closed)).join(at("__low"), "__low", "left").join(at("__high"), "__high", "left")
+    return met.withColumn(name, F.coalesce("__high_n", F.lit(every).cast("long")) - F.coalesce("__low_n", F.lit(0).cast("long"))).drop("__low", "__high", "__low_n", "__high_n")
+
+
 def open_at(when: Column, opened: Column, closed: Column) -> Column:
     """Whether a window is open at a date; a missing end is open, a missing start too."""
     return F.coalesce(opened <= when, F.lit(True)) & F.coalesce(when <= closed, F.lit(True))

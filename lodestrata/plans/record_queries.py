@@ -93,11 +93,10 @@ def _supplier_windows(spark, sf_dir):
 
 @query(_WINDOWS + "SELECT l_suppkey, strftime(opened, '%Y-%m-%d') AS opened, strftime(closed, '%Y-%m-%d') AS closed, count(o_orderkey) AS n_open FROM w LEFT JOIN orders ON coalesce(opened <= o_orderdate::DATE, true) AND coalesce(o_orderdate::DATE <= closed, true) GROUP BY ALL")
 def temporal_open_window(spark, sf_dir):
-    """Orders dated within each supplier's window; an open end never closes. Days are counted first, so windows meet days, not orders."""
+    """Orders dated within each supplier's window; an open end never closes. Days are counted first, and spans read off running totals."""
     days = _orders(spark, sf_dir).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
-    opens = _supplier_windows(spark, sf_dir)
-    met = opens.join(days, joins.open_at(F.col("day"), F.col("opened"), F.col("closed")), "left")
-    return met.groupBy("l_suppkey", "opened", "closed").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_open")).select("l_suppkey", _text("opened").alias("opened"), _text("closed").alias("closed"), "n_open")
+    met = joins.open_counts(_supplier_windows(spark, sf_dir), days, "opened", "closed", "day", "n", "n_open")
+    return met.select("l_suppkey", _text("opened").alias("opened"), _text("closed").alias("closed"), "n_open")
 
 
 @query(_WINDOWS + """SELECT o_orderkey, l_suppkey, CASE WHEN opened IS NULL OR closed IS NULL THEN NULL ELSE o_orderdate::DATE BETWEEN opened AND closed END AS in_window

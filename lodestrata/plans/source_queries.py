@@ -176,12 +176,12 @@ def wide_rows_by_key(spark, sf_dir):
     return readers.read_rows_by_key(table(spark, sf_dir, "documents"), "doc_id", wanted, ["text"]).select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("digest"))
 
 
-@query("SELECT o_custkey AS id, string_agg(o_orderkey::VARCHAR, ' ' ORDER BY o_orderkey) AS ids FROM orders WHERE o_custkey % 3 = 0 GROUP BY o_custkey")
+@query("SELECT o_custkey AS id, string_agg(o_orderkey::VARCHAR, ' ' ORDER BY o_orderkey) AS ids FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY o_custkey")
 def token_array_slices(spark, sf_dir):
-    """Order keys as packed arrays; the slices of every third customer through the index."""
+    """Order keys as packed arrays; the slices of customers with a balance through the index."""
     lists = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("keys"))
     path = writers.publish(arrays.packed_arrays(lists, "o_custkey", "keys", 500), _place(spark, "arrays.parquet"))
-    wanted = lists.where("o_custkey % 3 = 0").select(F.col("o_custkey").alias("id"))
+    wanted = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("id"))
     return arrays.array_slices(spark.read.parquet(path), wanted).select("id", F.array_join("ids", " ").alias("ids"))
 
 

@@ -22,6 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not _OWN_FOLDER:
         _OWN_FOLDER.append(tempfile.mkdtemp(prefix="lodestrata-"))
         atexit.register(shutil.rmtree, _OWN_FOLDER[0], ignore_errors=True)
