@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, hashing, scores, seeds, text
+from ..functions import dates, hashing, masking, scores, seeds, text
 from ..operators import adapters, contracts, dedup, histories, joins, metrics, ranking, sampling, scoring, windows
 from ..sources import shared, writers
 from . import stages
@@ -418,6 +418,26 @@ def age_anchors(spark, sf_dir):
     return found.select("doc_id", F.array_join("a.diagnoses", ",").alias("diagnoses"), F.array_join("a.others", ",").alias("others"), "a.intervals", F.col("a.error").isNotNull().alias("failed"))
 
 
+_NOTES = ("On protocol #17-123, drug ABC-1234 (NCT01234567).", "17–123 and 18-999; NCT 01234567x", "see 17_123, abc 1234 and ABC.1234", "nothing here, 2017-1234", None)
+_MASKED = ("On [TRIAL PROTOCOL], drug [STUDY DRUG CODE] ([NCT ID]).", "[TRIAL PROTOCOL] and 18-999; [NCT ID]x", "see 17_123, [STUDY DRUG CODE] and ABC.1234", "nothing here, 2017-1234", None)
+
+
+@query(f"""
+SELECT doc_id, {_sql_list(_MASKED)}[doc_id % 5 + 1] AS masked, [1, 1, 0, 0, 0][doc_id % 5 + 1]::INT AS n_protocol, [1, 1, 0, 0, 0][doc_id % 5 + 1]::INT AS n_nct, [1, 0, 1, 0, 0][doc_id % 5 + 1]::INT AS n_code,
+  ['', '', 'protocol_other_separator,code_other_separator', '', ''][doc_id % 5 + 1] AS residual FROM documents""")
+def masked_notes(spark, sf_dir):
+    """Notes of known identifiers masked, how many of each kind, and the checks that still find one."""
+    found = masking.masked(_pick(_NOTES), F.array(F.lit(17123)), F.array(F.lit("1234567")), F.array(F.lit("ABC1234")))
+    return table(spark, sf_dir, "documents").select("doc_id", found.alias("m")).select("doc_id", F.col("m.text").alias("masked"), "m.n_protocol", "m.n_nct", "m.n_code", F.array_join("m.residual", ",").alias("residual"))
+
+
+@query("SELECT doc_id, ['ABC1234,XY123A', 'ABC1234', '', ''][doc_id % 4 + 1] AS codes FROM documents")
+def codes_in_titles(spark, sf_dir):
+    """Drug codes in titles, without registry ids and names of markers."""
+    titles = ("XY-123A plus ABC 1234 and ABC-1234", "ABC1234 in COVID19 and CD123", "NCT 01234567 alone", None)
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.title_codes(_pick(titles)), ",").alias("codes"))
+
+
 # scorers, folds, stages
 
 

@@ -180,3 +180,14 @@ def weighted_rates_quantiles(spark, sf_dir):
 def crosstab_counts(spark, sf_dir):
     """Documents by language and both labels."""
     return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").groupBy("lang", "quality", "toxic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_LABELLED.replace("WITH x AS", "WITH RECURSIVE x AS") + """, r AS (SELECT quality AS y, ln(greatest(least(p, 1 - 1e-6), 1e-6) / (1 - greatest(least(p, 1 - 1e-6), 1e-6))) AS x FROM d),
+shift(k, b) AS (SELECT 0, 0.0::DOUBLE UNION ALL SELECT k + 1, b + g / h FROM shift, LATERAL (SELECT sum(y - s) AS g, sum(s * (1 - s)) AS h FROM (SELECT y, 1 / (1 + exp(-(b + x))) AS s FROM r)) WHERE k < 25),
+line(k, a, b) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL SELECT k + 1, a + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), b + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) FROM line,
+  LATERAL (SELECT sum(y - s) AS g0, sum((y - s) * x) AS g1, sum(s * (1 - s)) AS h00, sum(s * (1 - s) * x) AS h01, sum(s * (1 - s) * x * x) AS h11 FROM (SELECT y, x, 1 / (1 + exp(-(a + b * x))) AS s FROM r)) WHERE k < 25)
+SELECT (SELECT round(b, 5) FROM shift WHERE k = 25) AS intercept, (SELECT round(b, 5) FROM line WHERE k = 25) AS slope""")
+def metric_calibration_fit(spark, sf_dir):
+    """Calibration in the large and slope of one probability, by Newton steps over its distinct values."""
+    intercept, slope = metrics.calibration_fit(_labelled(spark, sf_dir), "quality", "p")
+    return spark.createDataFrame([(round(intercept, 5), round(slope, 5))], "intercept double, slope double")
