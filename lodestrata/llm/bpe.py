@@ -163,8 +163,8 @@ def _split_block(part: pa.RecordBatch, words: WordSplitter, block: int, n: int)
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, decoded: bool = False) -> DataFrame:
     """``id_col`` and ``ids`` (array of int): what the tokenizers library gives with add_special_tokens=False.
 
-    Null texts count as empty and have no ids; null ids and repeated rows stay; an empty table gives an
-    empty one; other columns aren't read. decoded: adds the column of ``decode``, whose pieces are joined
+    Null texts count as empty and have no ids; ids of rows are integers, null ones and repeated rows stay; an
+    empty table gives an empty one; other columns aren't read. decoded: adds the column of ``decode``, whose pieces are joined
     once for each distinct word of a block instead of once for each id. ``path`` is a tokenizer file that all executors have.
     """
     path = path or default_path()

@@ -298,7 +298,7 @@ def _hits_by_text(texts: DataFrame, blocks: list[DataFrame], seed: int, coverage
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", seed: int = SEED, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``id_col`` and ``hits``: the benchmark items that each row's whole text holds, with their tiles in words.
 
-    Null and empty texts hold none; null ids and repeated rows stay. Items without words never match;
+    Null and empty texts hold none; ids of any kind, null ids and repeated rows stay. Items have integer ids; items without words never match;
     items that repeat an id are items each for itself. Empty tables give no hits or no rows; other columns
     aren't read.
     """

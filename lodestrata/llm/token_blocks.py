@@ -137,7 +137,7 @@ _TABLE = "part int, segment int, within long, n_docs long, n_ids long, data bina
 def write_tokens(docs: DataFrame, out: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, percentile: float = PERCENTILE, segment_ids: int = SEGMENT_IDS) -> None:
     """Encodes whole texts, each followed by ``end_id``, and writes them to ``out`` in ascending id order.
 
-    Null and empty texts have the end id only. Null ids come first; rows that share an id all stay, in
+    Null and empty texts have the end id only. Ids are integers; null ids come first; rows that share an id all stay, in
     the order of a hash of their texts; an empty table gives an empty one; other columns aren't read.
     """
     path = path or default_path()

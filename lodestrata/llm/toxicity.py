@@ -256,7 +256,7 @@ def term_strength(n: np.ndarray, toxic: np.ndarray, rows: int, toxic_rows: int)
 
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, k: int = NEIGHBOURS) -> Model:
-    """The model from ``labelled`` (id and label 0/1; nulls are ignored, of several labels the largest holds).
+    """The model from ``labelled`` (integer id and label 0/1; nulls are ignored, of several labels the largest holds).
 
     An id that several texts have teaches by the one of the smallest hash. The first text of the sample
     is taken whatever its size. Ids without a text in ``docs`` teach nothing.
