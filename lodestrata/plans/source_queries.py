@@ -212,6 +212,15 @@ def published_anew(spark, sf_dir):
     return spark.read.parquet(writers.publish(frame.where("r_regionkey > 0"), path))
 
 
+@query("SELECT n_nationkey::BIGINT AS n_nationkey, n_name FROM nation WHERE n_nationkey % 3 = 2")
+def published_versions(spark, sf_dir):
+    """Three versions of a table, each seen whole; the last one is current."""
+    frame, path = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name"), _place(spark, "versions")
+    for i in range(3):
+        writers.publish_version(frame.where(F.col("n_nationkey") % 3 == i), path)
+    return writers.current_version(spark, path)
+
+
 @query("SELECT doc_id, length(coalesce(text, '')) AS n_chars FROM documents")
 def published_texts(spark, sf_dir):
     """Texts in zstd Parquet with large dictionary pages, private to their owner."""

@@ -44,6 +44,43 @@ def publish(frame: DataFrame, path: str, fmt: str = "parquet", **options) -> str
     return path
 
 
+def publish_version(frame: DataFrame, path: str, keep: int = 2) -> str:
+    """A new version of a table, seen at once or not at all: readers always find the last whole one (``current_version``).
+
+    Every version is a folder of its own, named by its number; the one rename that gives it this name publishes it.
+    The ``keep`` latest stay, so that those who read an earlier one can end.
+    """
+    spark = frame.sparkSession
+    root, fs = _path(spark, path.rstrip("/"))
+    staged = f"{path.rstrip('/')}/.staged-{uuid.uuid4().hex}"
+    frame.write.option("compression", "zstd").parquet(staged)
+    while True:
+        numbers = _versions(fs, root)
+        number = max(numbers, default=0) + 1
+        target = _path(spark, f"{path.rstrip('/')}/version-{number:08d}")[0]
+        if not fs.exists(target) and fs.rename(_path(spark, staged)[0], target):
+            break
+        if not fs.exists(_path(spark, staged)[0]):
+            raise ContractError(f"could not publish {path}")
+    for old in sorted(numbers)[: max(0, len(numbers) + 1 - keep)]:
+        fs.delete(_path(spark, f"{path.rstrip('/')}/version-{old:08d}")[0], True)
+    return target.toString()
+
+
+def _versions(fs, root) -> list[int]:
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return [int(n.removeprefix("version-")) for n in names if n.startswith("version-")]
+
+
+def current_version(spark: SparkSession, path: str) -> DataFrame:
+    """The last version that was published whole."""
+    root, fs = _path(spark, path.rstrip("/"))
+    numbers = _versions(fs, root)
+    if not numbers:
+        raise ContractError(f"{path} has no version")
+    return spark.read.parquet(f"{path.rstrip('/')}/version-{max(numbers):08d}")
+
+
 def publish_text_heavy(frame: DataFrame, path: str) -> str:
     """Parquet for texts that repeat: zstd and dictionary pages large enough to hold them."""
     return publish(frame, path, **{"parquet.enable.dictionary": "true", "parquet.dictionary.page.size": str(64 << 20)})

@@ -122,3 +122,17 @@ def test_a_failed_publication_keeps_the_old_table(spark, tmp_path):
         writers.publish(spark.range(3).select(F.raise_error(F.lit("no")).alias("a")), path)
     assert spark.read.parquet(path).count() == 3
     assert [writers.append_journal(spark.range(1), f"{tmp_path}/j", "x") for _ in range(2)] == [True, False]
+
+
+def test_versions_are_whole_and_few(spark, tmp_path):
+    import os
+
+    path = f"{tmp_path}/v"
+    with pytest.raises(ContractError):
+        writers.current_version(spark, path)
+    for i in range(4):
+        writers.publish_version(spark.range(i + 1), path)
+        with pytest.raises(Exception):  # noqa: B017
+            writers.publish_version(spark.range(3).select(F.raise_error(F.lit("no")).alias("a")), path)
+        assert writers.current_version(spark, path).count() == i + 1
+    assert sorted(n for n in os.listdir(path) if n.startswith("version-")) == ["version-00000003", "version-00000004"]
