@@ -136,7 +136,7 @@ def _split_block(part: pa.RecordBatch, words: WordSplitter, block: int, n: int)
     import zstandard
 
     seen = _Positions()
-    at = [np.fromiter(map(seen.__getitem__, words.split(t.as_py())), np.int64) for t in part.column(1)]
+    at = [np.fromiter(map(seen.__getitem__, words.split(t.as_py())), np.int32) for t in part.column(1)]
     flat, listed = np.concatenate(at), list(seen)
     at = [len(a) for a in at]
     seen.clear()

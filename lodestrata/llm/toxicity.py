@@ -41,7 +41,7 @@ from .wordspans import folded_bytes, utf8, word_hashes
 
 SAMPLE_ROWS, SAMPLE_BYTES, PRIOR_ROWS, NEIGHBOURS = 5_000, 32 << 20, 2.0, 25
 BLOCK, COMMON, SOFT, PRIOR, DIGITS = 64, 10, 0.05, 1.0, 9
-_PART_BYTES, _MEMO, _TOGETHER, _SIEVE_BITS = 2 << 20, 4_000, 64, 22
+_PART_BYTES, _MEMO, _TOGETHER, _SIEVE_BITS = 1 << 20, 2_000, 64, 22
 
 
 def terms_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,11 +129,11 @@ class Examples:
         self.rows[self.row_of[term[own]], entry[own]] = weight[own]
         entry, term, weight = entry[~own], term[~own], weight[~own]
         order = np.lexsort((entry, term))
-        self.entry, self.weight, term = entry[order], weight[order], term[order]
+        self.entry, self.weight, term = entry[order].astype(np.int32), weight[order], term[order]
         block = self.entry // BLOCK
         first = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.zeros(0, np.int64)
         # a part: the postings of one term in one block
-        self.part_block, self.part_start, self.part_size = block[first], first, np.diff(np.append(first, len(term)))
+        self.part_block, self.part_start, self.part_size = (x.astype(np.int32) for x in (block[first], first, np.diff(np.append(first, len(term)))))
         self.part_most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
         self.cuts = np.searchsorted(term[first], np.arange(n_terms + 1))
         self.blocks = -(-len(listed) // BLOCK)
@@ -292,6 +292,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
 
     df = np.zeros(len(terms) + 1)
     counted = texts.mapInArrow(count_documents, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # a row a term
+    words.destroy()
     df[np.asarray(counted.column("at"))] = np.asarray(counted.column("n"))
     idf = lambda n: np.log((1 + df[-1]) / (1 + n)) + 1
     vocabulary = Vocabulary(terms, idf(df[:-1]) * (1 + strength**2), float(idf(1.0)))
