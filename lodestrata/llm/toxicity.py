@@ -274,8 +274,14 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     chosen = [r["id"] for r, end in zip(sized, ends, strict=True) if end <= sample_bytes or r is sized[0]]
     kept = one.join(F.broadcast(spark.createDataFrame([(i,) for i in chosen], "id long")), "id", "left_semi").orderBy("id").toArrow()  # sample_bytes at most
     ids, labels = kept.column("id").to_pylist(), np.array(kept.column("label").to_pylist(), np.int64)
-    column = kept.column("text").combine_chunks().cast(pa.string())
-    row, term, _ = terms_of(column)
+    parts = [p.column(0) for b in kept.select(["text"]).cast(pa.schema([("text", pa.string())])).to_batches() for p in cut_rows(b, 0, _PART_BYTES)]
+    found, at = [], 0
+    for part in parts:  # the words of a part at a time, of all parts only the distinct ones
+        row, term, _ = terms_of(part)
+        found.append((row + at, term))
+        at += len(part)
+    row, term = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64 if i == 0 else np.uint64)]) for i in (0, 1))
+    found.clear()
     terms, which = np.unique(term, return_inverse=True)
     strength = term_strength(np.bincount(which, minlength=len(terms)), np.bincount(which, labels[row], minlength=len(terms)), len(ids), int(labels.sum()))
     words = spark.sparkContext.broadcast(Vocabulary(terms, np.ones(len(terms))))
@@ -296,7 +302,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     df[np.asarray(counted.column("at"))] = np.asarray(counted.column("n"))
     idf = lambda n: np.log((1 + df[-1]) / (1 + n)) + 1
     vocabulary = Vocabulary(terms, idf(df[:-1]) * (1 + strength**2), float(idf(1.0)))
-    vectors = vocabulary.vectors(column)
+    vectors = [v for part in parts for v in vocabulary.vectors(part)]
     index = Examples(vectors, labels.tolist(), ids, len(terms), k)
     owns = list(zip(index.of.tolist(), labels.tolist(), strict=True))
     firsts, cached = list({own: i for i, own in enumerate(owns)}.values()), {}
