@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
 from .windows import running_totals
 
 
@@ -64,9 +65,10 @@ def open_counts(spans: DataFrame, days: DataFrame, opened: str, closed: str, day
     Running totals over the days and the ends of the spans: two equi joins instead of a range join.
     """
     number = lambda c: F.unix_date(F.col(c))
+    spans = written(spans, "spans")  # read three times
     ends = [spans.select((number(opened) - 1).alias("__d"), F.lit(0).cast("long").alias("__n")), spans.select(number(closed).alias("__d"), F.lit(0).cast("long").alias("__n"))]
     marks = days.select(number(day).alias("__d"), F.col(n).cast("long").alias("__n")).unionByName(ends[0]).unionByName(ends[1]).where("__d IS NOT NULL")
-    totals = running_totals(marks.groupBy("__d").agg(F.sum("__n").alias("__n")), "__d", ["__n"])
+    totals = written(running_totals(written(marks.groupBy("__d").agg(F.sum("__n").alias("__n")), "marks"), "__d", ["__n"]), "totals")  # a row a day
     at = lambda own: totals.select(F.col("__d").alias(own), F.col("cum___n").alias(f"{own}_n"))
     every = days.where(F.col(day).isNotNull()).agg(F.sum(n)).first()[0] or 0
     met = spans.withColumn("__low", number(opened) - 1).withColumn("__high", number(closed)).join(at("__low"), "__low", "left").join(at("__high"), "__high", "left")
