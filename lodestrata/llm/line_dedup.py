@@ -51,12 +51,17 @@ def _ahead(text: Column, min_chars: int) -> Column:
     return F.transform(_shortest(text, min_chars), lambda w, i: _run(i, _n_lines(w), w))
 
 
-def _back(text: Column, min_chars: int) -> Column:
-    """The shortest run of several lines that ends at each line; a single line is a window already."""
+def _back(text: Column, min_chars: int, ahead: Column) -> Column:
+    """The shortest run of several lines that ends at each line; a single line is a window already. Its fingerprint is that of the window it begins with."""
     last = _n_lines(text) - 1  # a variable below, else it is counted again for each line
     found = F.transform(_shortest(F.reverse(text), min_chars), lambda w, i: F.struct(w.alias("w"), i.alias("i"), _n_lines(w).alias("n")))
     several = F.filter(found, lambda x: x["n"] > 1)
-    return F.flatten(F.transform(F.array(last), lambda end: F.transform(several, lambda x: _run(end - x["i"] - x["n"] + 1, x["n"], F.reverse(x["w"])))))
+
+    def run(x: Column, end: Column) -> Column:
+        line = (end - x["i"] - x["n"] + 1).cast("int")
+        return F.struct(line.alias("line"), x["n"].cast("int").alias("lines"), F.get(ahead, line)["least"].alias("least"), F.xxhash64(F.reverse(x["w"])).alias("content"))
+
+    return F.flatten(F.transform(F.array(last), lambda end: F.transform(several, lambda x: run(x, end))))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -66,7 +71,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     unpacked = lambda runs: picked.select("id", "tie", F.explode(runs).alias("w")).select("id", "tie", "w.line", "w.lines", "w.least.fp", (F.col("w.line") + F.col("w.least.place") - 1).cast("int").alias("at"), "w.content")
     selected = F.struct("id", "tie", "at")  # a line can be the fingerprint of several windows
     repeated = unpacked(_ahead(text, most)).groupBy("fp").agg(F.min(selected).alias("low"), F.max(selected).alias("high")).where("NOT low <=> high").select("fp")
-    runs = unpacked(F.array_distinct(F.concat(_ahead(text, most), _back(text, most))))
+    runs = unpacked(F.flatten(F.transform(F.array(_ahead(text, most)), lambda ahead: F.array_distinct(F.concat(ahead, _back(text, most, ahead))))))
     extended = written(runs.join(written(repeated, "line-fingerprints"), "fp", "left_semi").drop("fp", "at"), "line-runs")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "tie", "line")
     first = extended.groupBy("content", "lines").agg(F.min(place).alias("first"), F.max(place).alias("final")).where("NOT first <=> final").drop("final")

@@ -78,3 +78,13 @@ def test_short_lines_that_others_share(make_docs):
     short = "\n".join(chr(97 + i) * (i % 5 + 1) for i in range(26))
     found = {r["doc_id"]: r for r in line_dedup.deduplicated(make_docs([short, short, f"x\n{short}"])).collect()}
     assert [found[i]["line_dedup"]["n_removed"] for i in range(3)] == [0, 26, 26] and found[2]["text"] == "x"
+
+
+def test_short_last_lines_of_copies(make_docs):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(40):  # a short line ends each run; it is the fingerprint of no window ahead
+        text = "\n".join("".join(rng.choice("abcdefgh ") for _ in range(rng.randint(25, 60))) for _ in range(rng.randint(1, 4))) + f"\nend {rng.randrange(10**4)}"
+        texts += [text, text, text + "\nand another line that is long enough"]
+    found = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(make_docs(texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == brute(list(enumerate(texts)))
