@@ -260,7 +260,8 @@ SELECT l_suppkey, l_partkey, string_agg(list || ':' || place, ',' ORDER BY list,
 def union_of_rankings(spark, sf_dir):
     """Unique pairs of two rankings, with every place of each."""
     rows = table(spark, sf_dir, "lineitem")
-    lists = [ranking.top_k(rows, ["l_suppkey"], [F.desc(c), F.asc("l_orderkey"), F.asc("l_linenumber")], 5, "place").select("l_suppkey", "l_partkey", F.lit(name).alias("list"), "place") for name, c in (("quantity", "l_quantity"), ("price", "l_extendedprice"))]
+    order = [F.asc_nulls_last("l_orderkey"), F.asc_nulls_last("l_linenumber")]
+    lists = [ranking.top_ranks(rows, ["l_suppkey"], [F.desc(c), *order], 5, "place").select("l_suppkey", "l_partkey", F.lit(name).alias("list"), "place") for name, c in (("quantity", "l_quantity"), ("price", "l_extendedprice"))]
     merged = ranking.merge_hits(lists[0].unionByName(lists[1]), ["l_suppkey", "l_partkey"], ["list", "place"])
     return merged.select("l_suppkey", "l_partkey", F.array_join(F.transform("sources", lambda s: F.concat_ws(":", s["list"], s["place"].cast("string"))), ",").alias("places"))
 
