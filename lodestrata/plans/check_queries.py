@@ -333,8 +333,9 @@ def contiguous_shards(spark, sf_dir):
 @query("SELECT l_suppkey * 1000003 + l_partkey AS pair, count(*) AS n FROM lineitem WHERE (l_suppkey, l_partkey) IN (SELECT (l_suppkey, l_partkey) FROM lineitem WHERE l_returnflag = 'R') GROUP BY 1")
 def known_pairs(spark, sf_dir):
     """Pairs as one key, and those of them that are known positives."""
-    rows = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") * 1000003 + F.col("l_partkey")).alias("pair"), "l_returnflag")
-    return rows.join(rows.where("l_returnflag = 'R'").select("pair").distinct(), "pair", "left_semi").groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
+    known = F.bool_or(F.coalesce(F.col("l_returnflag") == "R", F.lit(False)))  # of the pair itself: two pairs may have one key
+    pairs = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"), known.alias("known"))
+    return pairs.where("known").groupBy((F.col("l_suppkey") * 1000003 + F.col("l_partkey")).alias("pair")).agg(F.sum("n").alias("n"))
 
 
 @query("SELECT doc_id, 10 * doc_id + CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) % 10 AS BIGINT) + 1 AS derived, substr(sha256('id:' || doc_id), 1, 16) AS pair_key FROM documents")
