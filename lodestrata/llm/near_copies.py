@@ -1,10 +1,16 @@
-"""Near copies by exact Jaccard similarity of word shingles.
+"""Near copies by SimHash, checked by exact Jaccard similarity of word shingles.
 
 Rows with the same words (``wordspans``: A-Z folded, white space between) are one node, its number a hash
-of the words. Candidates come from MinHash: ``BANDS`` keys of ``ROWS`` minima each, so a pair of
-similarity 0.8 shares no key with a chance of 1 in 14,000, and of 0.85 of 1 in 600,000. Only pairs whose
-shingle sets have a Jaccard similarity of 4/5 or more are linked.
-
+of the words. Candidates come from SimHash: a fingerprint has a bit for each of several hundred hash
+functions, set where more than half of the distinct shingles have it set. Sets of similarity 0.8 differ
+in about 0.15 of the bits. No exact pigeonhole scheme is of use there (at 16 of 64 bits its keys are a
+few bits long), so a fingerprint has as many blocks as it takes for two such sets to agree on a whole one
+but for a chance of ``MISS``; a block has so many bits that 16 to 32 unrelated fingerprints share its key.
+Only pairs whose shingle sets have a Jaccard similarity of 4/5 or more are linked.
+
+0. Fingerprints with one key meet in one task, which compares ``PRINT_BITS`` further bits: those that
+   chains of at most ``FAR`` differing bits join stay as the members of a (smaller) key, others go.
+   A key with more than ``GROUP_ROWS`` rows is dealt out as pairs of chunks.
 1. Every member of a key is compared with one member drawn for that key: one pair a row, however large a
    group of copies is.
 2. The members of a key that are not in one component yet meet, with their shingles, in one task. It
@@ -12,13 +18,13 @@ shingle sets have a Jaccard similarity of 4/5 or more are linked.
    and returns the links of a spanning forest, never the pairs. A key with more than ``GROUP_BYTES`` of
    shingles is dealt out as pairs of chunks, so no task holds more than two chunks.
 3. Components of all links.
-
-SimHash can't give these candidates: 0.8 is about 16 of 64 bits, and keys that survive 16 changed bits
-are either a few bits long or thousands a row.
 """
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,10 +36,13 @@ from .components import connected_components
 from .storage import written
 from .wordspans import folded_bytes, gram_hashes, mix, utf8, word_hashes
 
-SHINGLE, BANDS, ROWS = 5, 24, 5
-GROUP_BYTES = 32 << 20
+SHINGLE = 5
+#: Chance that a pair of similarity 0.8 has no block in common. Shares of the bits in which such sets differ at most: many shingles (arc of the cosine 8/9 over pi, and a little), and few.
+MISS, DIFFER, FEW, DIFFER_FEW = 1 / 14_000, 0.155, 48, 0.188
+#: Bits that are compared within a key. Those of a pair of similarity 0.8 differ in 19 on average, by chance in more than 38 once in a million; unrelated ones in 38 or fewer three times in a million.
+PRINT_BITS, FAR = 128, 38
+GROUP_BYTES, GROUP_ROWS = 32 << 20, 20_000
 _PART_BYTES = 1 << 20
-_FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> list[tuple[int, np.ndarray]]:
@@ -47,39 +56,140 @@ def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> list[tuple[int, np
     return out
 
 
-def band_keys(grams: np.ndarray) -> np.ndarray:
-    """A hash of each band's number and minima; none without shingles."""
+def block_bits(rows: int) -> int:
+    """The bits of a block: a few less than the number of rows has."""
+    return min(24, max(8, rows.bit_length() - 5))
+
+
+def n_blocks(bits: int, size: int) -> int:
+    """How many blocks it takes for a set of so many shingles."""
+    return math.ceil(math.log(MISS) / math.log1p(-((1 - (DIFFER_FEW if size <= FEW else DIFFER)) ** bits)))
+
+
+@lru_cache(4)
+def _factors(words: int) -> np.ndarray:
+    return mix(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def simhash_bits(grams: np.ndarray, bits: int) -> np.ndarray:
+    """The first ``bits`` bits of the fingerprint, one a byte: 1 where more than half of the shingles' hashes have the bit set."""
+    factors = _factors(-(-bits // 64))
+    ones = np.zeros(64 * len(factors), np.int64)
+    for at in range(0, len(grams), 255):  # so many fit a byte
+        hashes = mix(grams[at : at + 255, None] * factors)
+        ones += np.unpackbits(hashes.astype("<u8", copy=False).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return (2 * ones > len(grams)).astype(np.uint8)[:bits]
+
+
+def fingerprint(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """``PRINT_BITS`` bits as two words, and the keys: each block's number and its ``bits`` bits; no keys without shingles."""
     if not len(grams):
-        return np.zeros(0, np.uint64)
-    least = np.array([(grams * f).min() for f in _FACTORS]).reshape(BANDS, ROWS)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in least.T:
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + column)
-    return keys
+        return np.zeros(2, np.uint64), np.zeros(0, np.uint64)
+    n = n_blocks(bits, len(grams))
+    found = simhash_bits(grams, PRINT_BITS + n * bits)
+    keys = found[PRINT_BITS:].reshape(n, bits) @ (np.uint64(1) << np.arange(bits, dtype=np.uint64))
+    return np.packbits(found[:PRINT_BITS], bitorder="little").view("<u8"), keys | (np.arange(n, dtype=np.uint64) << np.uint64(32))
+
+
+def band_keys(grams: np.ndarray, bits: int = 8) -> np.ndarray:
+    """The keys of a set's blocks; none without shingles."""
+    return fingerprint(grams, bits)[1]
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _by_text(docs: DataFrame, text_col: str, whole: bool) -> DataFrame:
-    """``docs`` without its text, and ``node``, ``size`` and ``hashes``: all shingles if ``whole``, else the keys of the bands."""
+def _by_text(docs: DataFrame, text_col: str, bits: int | None = None) -> DataFrame:
+    """``docs`` without its text, and ``node``, ``size`` and ``hashes``: all shingles, or, with the ``bits`` of a block, the keys, and the further bits as ``low`` and ``high``."""
     bounded_batches(docs.sparkSession)
     others = [c for c in docs.columns if c != text_col]
     picked = docs.select(*others, F.col(text_col).cast("string").alias(text_col))
+    words = ["low", "high"] if bits else []
 
     def run(batches):
         for part in (p for batch in batches for p in cut_rows(batch, len(others), _PART_BYTES)):
             found = shingle_sets(part.column(len(others)))
-            hashes = [(g if whole else band_keys(g)).view(np.int64) for _, g in found]
+            prints = [fingerprint(g, bits) for _, g in found] if bits else []
+            hashes = [h.view(np.int64) for h in ([k for _, k in prints] if bits else [g for _, g in found])]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-1], pa.array([_signed(n) for n, _ in found], pa.int64()), pa.array([len(g) for _, g in found], pa.int32()), pa.array(hashes, pa.list_(pa.int64()))],
-                [*others, "node", "size", "hashes"],
+                [*part.columns[:-1], pa.array([_signed(n) for n, _ in found], pa.int64()), pa.array([len(g) for _, g in found], pa.int32()), pa.array(hashes, pa.list_(pa.int64())), *(pa.array([_signed(int(p[i])) for p, _ in prints], pa.int64()) for i in range(len(words)))],
+                [*others, "node", "size", "hashes", *words],
             )
         release_memory()
 
     kinds = ", ".join(f"`{c}` {dict(picked.dtypes)[c]}" for c in others)
-    return picked.mapInArrow(run, f"{kinds}, node long, size int, hashes array<bigint>")
+    return picked.mapInArrow(run, f"{kinds}, node long, size int, hashes array<bigint>" + "".join(f", {w} long" for w in words))
+
+
+def _joined(starts: np.ndarray, sizes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For each row of keys that come one after another, the first row of its own key that chains of near fingerprints join it with."""
+    root = np.arange(len(low))
+    near = lambda i, j: np.bitwise_count(low[i] ^ low[j]) + np.bitwise_count(high[i] ^ high[j]) <= FAR
+    small, end, pairs = np.repeat(sizes, sizes) <= 128, np.repeat(starts + sizes, sizes), []
+    for shift in range(1, 128):
+        i = np.flatnonzero(small[: len(low) - shift] & (np.arange(len(low) - shift) + shift < end[: len(low) - shift]))
+        if not len(i):
+            break
+        pairs.append(np.stack([i, i + shift])[:, near(i, i + shift)])
+    a, b = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+    while len(a):
+        least = np.minimum(root[a], root[b])
+        now = root.copy()
+        np.minimum.at(now, root[a], least)
+        np.minimum.at(now, root[b], least)
+        now = now[now]
+        if np.array_equal(now, root):
+            break
+        root = now
+    for at, size in zip(starts[sizes > 128].tolist(), sizes[sizes > 128].tolist(), strict=True):
+        left = np.arange(at, at + size)
+        while len(left):
+            first, queue, left = left[0], [left[0]], left[1:]
+            while queue and len(left):
+                reached = near(left, queue.pop())
+                root[left[reached]] = first
+                queue.extend(left[reached].tolist())
+                left = left[~reached]
+    return root
+
+
+def _near_members(batches):
+    """``node`` and ``key`` of the fingerprints that have a near one under their key; ``key`` is new, one for each chain."""
+    kept: list[np.ndarray] = [np.zeros(0, np.int64)] * 5
+
+    def found(cols: list[np.ndarray]):
+        key, chunks, node, low, high = (c.view(np.uint64) for c in cols)
+        if not len(key):
+            return
+        starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (chunks[1:] != chunks[:-1])]))
+        root = _joined(starts, np.diff(np.append(starts, len(key))), low, high)
+        keep = np.bincount(root, minlength=len(root))[root] > 1
+        names = mix(mix(mix(key) + chunks) + node[root])
+        yield pa.RecordBatch.from_arrays([pa.array(node[keep].view(np.int64)), pa.array(names[keep].view(np.int64))], ["node", "key"])
+
+    for batch in batches:
+        cols = [np.concatenate([k, np.asarray(batch.column(i))]) for i, k in enumerate(kept)]
+        if not len(cols[0]):
+            continue
+        cut = len(cols[0]) - int(((cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])).sum())  # rows are sorted: those of the open key are the last
+        kept = [c[cut:] for c in cols]
+        yield from found([c[:cut] for c in cols])
+    yield from found(kept)
+    release_memory()
+
+
+def near_members(prints: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``node`` and ``key``: the groups of fingerprints (node, low, high, hashes) that share a block and are near."""
+    rows = prints.select(F.explode("hashes").alias("key"), F.lit(0).cast("long").alias("chunks"), "node", "low", "high")
+    if prints.count() > group_rows:
+        hot = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group_rows), "near-hot-blocks")
+        if hot.limit(1).count():
+            n = F.ceil(F.col("n") / (group_rows // 2))
+            dealt = rows.join(hot, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), n)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+            pair = F.least("chunk", "other") * F.col("n") + F.greatest("chunk", "other")
+            rows = rows.join(hot, "key", "left_anti").unionByName(dealt.select("key", pair.alias("chunks"), "node", "low", "high"))
+    return rows.repartition("key", "chunks").sortWithinPartitions("key", "chunks").mapInArrow(_near_members, "node long, key long")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -166,15 +276,16 @@ def near_copies(docs: DataFrame, row_col: str, text_col: str = "text", group_byt
     without words are copies of each other. An empty table gives an empty one.
     """
     rows = docs.select(row_col, text_col)
-    marked = written(_by_text(rows, text_col, whole=False), "near-rows")
-    nodes = marked.groupBy("node").agg(F.min(row_col).alias(row_col), F.first("size").alias("size"), F.first("hashes").alias("hashes"))
-    keys = written(nodes.select("node", row_col, "size", F.explode("hashes").alias("key")), "near-keys")
+    marked = written(_by_text(rows, text_col, block_bits(rows.count())), "near-rows")
+    first = [F.first(c).alias(c) for c in ("size", "hashes", "low", "high")]
+    nodes = written(marked.groupBy("node").agg(F.min(row_col).alias(row_col), *first), "near-nodes")
+    keys = written(near_members(nodes).join(nodes.select("node", row_col, "size"), "node"), "near-keys")
     draw = F.struct(F.xxhash64("node", "key").alias("draw"), "node", "size")
     shared = keys.groupBy("key").agg(F.min(draw).alias("low"), F.max(draw).alias("high")).where("low.node <> high.node")
     shared = written(shared.select("key", F.col("low.node").alias("drawn"), F.col("low.size").alias("drawn_size")), "near-shared")
     members = written(keys.join(shared, "key"), "near-members")
     wanted = written(members.groupBy("node").agg(F.min(row_col).alias(row_col)).select(row_col), "near-wanted")
-    sets = _by_text(rows.join(wanted, row_col, "left_semi"), text_col, whole=True)
+    sets = _by_text(rows.join(wanted, row_col, "left_semi"), text_col)
     sets = written(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "near-sets")
 
     ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
