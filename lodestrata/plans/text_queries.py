@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..functions import dates, masking, scores, text
-from ..operators import dedup, sampling
+from ..operators import dedup, quotes, sampling
 from .registry import query, table
 
 
@@ -46,20 +44,7 @@ def response_parsers(spark, sf_dir):
 SELECT item_id, count(*) FILTER (WHERE contains(trim(lower(regexp_replace(d.text, '\\s+', ' ', 'g'))), trim(lower(regexp_replace(b.text, '\\s+', ' ', 'g'))))) AS n_documents FROM benchmark b, documents d GROUP BY item_id""")
 def quote_grounding(spark, sf_dir):
     """In how many documents each benchmark text is quoted: candidates by a few words inside the quote, then the quote itself."""
-    items = table(spark, sf_dir, "benchmark").select("item_id", text.quote_pieces(F.col("text")).alias("pieces")).withColumn("seed", text.quote_seed(F.col("pieces")))
-    items = items.withColumn("n", F.when(F.col("seed") == "", 0).otherwise(F.size(F.split("seed", " "))))
-    docs = table(spark, sf_dir, "documents").select(text.tidy(F.col("text")).alias("tidy")).withColumn("key", F.xxhash64("tidy"))
-    found = []
-    for n in sorted(r["n"] for r in items.select("n").distinct().collect()):  # 0 to 3
-        own = items.where(F.col("n") == n)
-        if n:
-            met = docs.select("key", F.explode(text.word_runs(F.col("tidy"), n)).alias("seed")).join(own.select("item_id", "seed"), "seed").select("key", "item_id").distinct()
-            pairs = docs.join(met, "key").join(own, "item_id")
-        else:  # quotes of one or two words have no seed
-            pairs = docs.join(own)
-        found.append(pairs.where(text.pieces_found(F.col("pieces"), F.col("tidy"))).select("item_id"))
-    counts = reduce(lambda a, b: a.unionByName(b), found).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents")) if found else items.limit(0).select("item_id", F.lit(0).alias("n_documents"))
-    return items.select("item_id").join(counts, "item_id", "left").select("item_id", F.coalesce("n_documents", F.lit(0)).cast("long").alias("n_documents"))
+    return quotes.quote_counts(table(spark, sf_dir, "benchmark"), "item_id", "text", table(spark, sf_dir, "documents"), "text", "n_documents")
 
 
 @query("""
