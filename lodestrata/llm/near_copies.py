@@ -8,15 +8,17 @@ few bits long), so a fingerprint has as many blocks as it takes for two such set
 but for a chance of ``MISS``; a block has so many bits that 16 to 32 unrelated fingerprints share its key.
 Only pairs whose shingle sets have a Jaccard similarity of 4/5 or more are linked.
 
-0. Fingerprints with one key meet in one task, which compares ``PRINT_BITS`` further bits: those that
-   chains of at most ``FAR`` differing bits join stay as the members of a (smaller) key, others go.
-   A key with more than ``GROUP_ROWS`` rows is dealt out as pairs of chunks.
-1. Every member of a key is compared with one member drawn for that key: one pair a row, however large a
+0. Fingerprints with one key meet in one task, which compares ``PRINT_BITS`` further bits and the
+   numbers of shingles. Chains of at most ``FAR`` differing bits and sizes within 4/5, under whatever key, make groups of candidates: a node is a member of one group,
+   so there is a row a node, however many keys it shares with others. A key with more than
+   ``GROUP_ROWS`` rows is dealt out: see 2.
+1. Every member of a group is compared with one member drawn for it: one pair a row, however large a
    group of copies is.
-2. The members of a key that are not in one component yet meet, with their shingles, in one task. It
+2. The members of a group that are not in one component yet meet, with their shingles, in one task. It
    goes from component to component through an inverted index of the members that aren't reached yet
-   and returns the links of a spanning forest, never the pairs. A key with more than ``GROUP_BYTES`` of
-   shingles is dealt out as pairs of chunks, so no task holds more than two chunks.
+   and returns the links of a spanning forest, never the pairs. A group with more than ``GROUP_BYTES`` of
+   shingles is dealt out as pairs of chunks, so no task holds more than two chunks. Members that are
+   linked with the drawn one don't meet one another: their chunks only meet those of the rest.
 3. Components of all links.
 """
 
@@ -42,7 +44,7 @@ MISS, DIFFER, FEW, DIFFER_FEW = 1 / 14_000, 0.155, 48, 0.188
 #: Bits that are compared within a key. Those of a pair of similarity 0.8 differ in 19 on average, by chance in more than 38 once in a million; unrelated ones in 38 or fewer three times in a million.
 PRINT_BITS, FAR = 128, 38
 GROUP_BYTES, GROUP_ROWS = 32 << 20, 20_000
-_PART_BYTES = 1 << 20
+_PART_BYTES, _LINKS = 1 << 20, 1 << 19
 
 
 def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> list[tuple[int, np.ndarray]]:
@@ -122,17 +124,9 @@ def _by_text(docs: DataFrame, text_col: str, bits: int | None = None) -> DataFra
     return picked.mapInArrow(run, f"{kinds}, node long, size int, hashes array<bigint>" + "".join(f", {w} long" for w in words))
 
 
-def _joined(starts: np.ndarray, sizes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """For each row of keys that come one after another, the first row of its own key that chains of near fingerprints join it with."""
-    root = np.arange(len(low))
-    near = lambda i, j: np.bitwise_count(low[i] ^ low[j]) + np.bitwise_count(high[i] ^ high[j]) <= FAR
-    small, end, pairs = np.repeat(sizes, sizes) <= 128, np.repeat(starts + sizes, sizes), []
-    for shift in range(1, 128):
-        i = np.flatnonzero(small[: len(low) - shift] & (np.arange(len(low) - shift) + shift < end[: len(low) - shift]))
-        if not len(i):
-            break
-        pairs.append(np.stack([i, i + shift])[:, near(i, i + shift)])
-    a, b = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+def _least_joined(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` rows the first one that the links (a, b) join it with."""
+    root = np.arange(n)
     while len(a):
         least = np.minimum(root[a], root[b])
         now = root.copy()
@@ -142,6 +136,22 @@ def _joined(starts: np.ndarray, sizes: np.ndarray, low: np.ndarray, high: np.nda
         if np.array_equal(now, root):
             break
         root = now
+    return root
+
+
+def _joined(starts: np.ndarray, sizes: np.ndarray, low: np.ndarray, high: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """For each row of keys that come one after another, the first row of its own key that chains of near fingerprints join it with."""
+    root = np.arange(len(low))
+    alike = lambda x, y: 5 * np.minimum(x, y) >= 4 * np.maximum(x, y)
+    near = lambda i, j: (np.bitwise_count(low[i] ^ low[j]) + np.bitwise_count(high[i] ^ high[j]) <= FAR) & alike(shingles[i], shingles[j])
+    small, end, pairs = np.repeat(sizes, sizes) <= 128, np.repeat(starts + sizes, sizes), []
+    for shift in range(1, 128):
+        i = np.flatnonzero(small[: len(low) - shift] & (np.arange(len(low) - shift) + shift < end[: len(low) - shift]))
+        if not len(i):
+            break
+        pairs.append(np.stack([i, i + shift])[:, near(i, i + shift)])
+    if pairs:
+        root = _least_joined(*np.concatenate(pairs, axis=1), len(low))
     for at, size in zip(starts[sizes > 128].tolist(), sizes[sizes > 128].tolist(), strict=True):
         left = np.arange(at, at + size)
         while len(left):
@@ -154,19 +164,26 @@ def _joined(starts: np.ndarray, sizes: np.ndarray, low: np.ndarray, high: np.nda
     return root
 
 
-def _near_members(batches):
-    """``node`` and ``key`` of the fingerprints that have a near one under their key; ``key`` is new, one for each chain."""
-    kept: list[np.ndarray] = [np.zeros(0, np.int64)] * 5
+def _near_links(batches):
+    """Links (a, b) of the chains of near fingerprints under each key, as forests: a link less than nodes for each chain of a task."""
+    kept: list[np.ndarray] = [np.zeros(0, np.int64)] * 6
+    links = np.zeros((2, 0), np.int64)
 
-    def found(cols: list[np.ndarray]):
-        key, chunks, node, low, high = (c.view(np.uint64) for c in cols)
+    def found(cols: list[np.ndarray]) -> np.ndarray:
+        """Each member of a chain and the least one."""
+        key, chunks, node, low, high = cols[0], cols[1], cols[2], cols[3].view(np.uint64), cols[4].view(np.uint64)
         if not len(key):
-            return
+            return links[:, :0]
         starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (chunks[1:] != chunks[:-1])]))
-        root = _joined(starts, np.diff(np.append(starts, len(key))), low, high)
-        keep = np.bincount(root, minlength=len(root))[root] > 1
-        names = mix(mix(mix(key) + chunks) + node[root])
-        yield pa.RecordBatch.from_arrays([pa.array(node[keep].view(np.int64)), pa.array(names[keep].view(np.int64))], ["node", "key"])
+        root = _joined(starts, np.diff(np.append(starts, len(key))), low, high, cols[5])
+        least = node.copy()
+        np.minimum.at(least, root, node)
+        return np.stack([node, least[root]])[:, node != least[root]]
+
+    def forest_of(links: np.ndarray) -> np.ndarray:
+        names, at = np.unique(links, return_inverse=True)
+        root = _least_joined(*at.reshape(links.shape), len(names))
+        return np.stack([names, names[root]])[:, root != np.arange(len(names))]
 
     for batch in batches:
         cols = [np.concatenate([k, np.asarray(batch.column(i))]) for i, k in enumerate(kept)]
@@ -174,22 +191,50 @@ def _near_members(batches):
             continue
         cut = len(cols[0]) - int(((cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])).sum())  # rows are sorted: those of the open key are the last
         kept = [c[cut:] for c in cols]
-        yield from found([c[:cut] for c in cols])
-    yield from found(kept)
+        links = np.concatenate([links, found([c[:cut] for c in cols])], axis=1)
+        if links.shape[1] > _LINKS:
+            links = forest_of(links)
+            if 2 * links.shape[1] > _LINKS:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in links], ["a", "b"])
+                links = links[:, :0]
+    links = forest_of(np.concatenate([links, found(kept)], axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in links], ["a", "b"])
     release_memory()
 
 
+def dealt_out(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows (key, main, node, ...) of the keys of ``parts`` (key, n_main, n_rest: chunks of either kind), with the ``chunks`` that they go to.
+
+    Two chunks meet under each number. All rows of a key that aren't ``main`` meet one another and all
+    its rows; those that are don't meet one another.
+    """
+    count = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).otherwise(F.array().cast("array<bigint>"))
+    chunk, n_main, n_rest = F.pmod(F.xxhash64("node"), F.when(F.col("main"), F.col("n_main")).otherwise(F.col("n_rest"))), F.col("n_main"), F.col("n_rest")
+    with_main = F.transform(count("n_main"), lambda i: i * n_rest + chunk)
+    with_rest = F.transform(F.filter(count("n_rest"), lambda j: j != chunk), lambda j: (n_main + F.least(j, chunk)) * n_rest + F.greatest(j, chunk))
+    goes = F.when(F.col("main"), F.transform(count("n_rest"), lambda j: chunk * n_rest + j)).otherwise(F.concat(with_main, with_rest))
+    return rows.join(parts, "key").withColumn("chunks", F.explode(goes)).drop("main", "n_main", "n_rest")
+
+
 def near_members(prints: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``node`` and ``key``: the groups of fingerprints (node, low, high, hashes) that share a block and are near."""
-    rows = prints.select(F.explode("hashes").alias("key"), F.lit(0).cast("long").alias("chunks"), "node", "low", "high")
+    """``node`` and ``key``: the groups that chains of near fingerprints (node, low, high, hashes, size) which share a block make; a row for each node that has a near one. Without ``size`` only bits are compared."""
+    size = (F.col("size") if "size" in prints.columns else F.lit(1)).cast("long").alias("size")
+    rows = prints.select(F.explode("hashes").alias("key"), F.lit(0).cast("long").alias("chunks"), "node", "low", "high", size)
+    drawn = None
     if prints.count() > group_rows:
-        hot = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group_rows), "near-hot-blocks")
+        hot = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group_rows).select("key"), "near-hot-blocks")
         if hot.limit(1).count():
-            n = F.ceil(F.col("n") / (group_rows // 2))
-            dealt = rows.join(hot, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), n)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-            pair = F.least("chunk", "other") * F.col("n") + F.greatest("chunk", "other")
-            rows = rows.join(hot, "key", "left_anti").unionByName(dealt.select("key", pair.alias("chunks"), "node", "low", "high"))
-    return rows.repartition("key", "chunks").sortWithinPartitions("key", "chunks").mapInArrow(_near_members, "node long, key long")
+            own = written(rows.drop("chunks").join(hot, "key"), "near-hot-rows")
+            draws = own.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key").alias("draw"), "node", "low", "high", "size")).alias("drawn"))
+            main = F.bit_count(F.col("low").bitwiseXOR(F.col("drawn.low"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("drawn.high"))) <= FAR
+            main &= 5 * F.least("size", "drawn.size") >= 4 * F.greatest("size", "drawn.size")
+            own = written(own.join(draws, "key").select("key", "node", "low", "high", "size", F.col("drawn.node").alias("drawn"), main.alias("main")), "near-hot-rows")
+            drawn = own.where("main AND node <> drawn").select(F.col("node").alias("a"), F.col("drawn").alias("b"))
+            n = lambda kind: F.ceil(F.sum(kind.cast("long")) / F.lit(group_rows // 2))
+            parts = written(own.groupBy("key").agg(n(F.col("main")).alias("n_main"), n(~F.col("main")).alias("n_rest")).where("n_rest > 0"), "near-hot-parts")
+            rows = rows.join(hot, "key", "left_anti").unionByName(dealt_out(own.drop("drawn"), parts))
+    links = rows.select("key", "chunks", "node", "low", "high", "size").repartition("key", "chunks").sortWithinPartitions("key", "chunks").mapInArrow(_near_links, "a long, b long")
+    return connected_components(links if drawn is None else links.unionByName(drawn), "near-chains").select("node", F.col("component").alias("key"))
 
 
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -279,34 +324,28 @@ def near_copies(docs: DataFrame, row_col: str, text_col: str = "text", group_byt
     marked = written(_by_text(rows, text_col, block_bits(rows.count())), "near-rows")
     first = [F.first(c).alias(c) for c in ("size", "hashes", "low", "high")]
     nodes = written(marked.groupBy("node").agg(F.min(row_col).alias(row_col), *first), "near-nodes")
-    keys = written(near_members(nodes).join(nodes.select("node", row_col, "size"), "node"), "near-keys")
-    draw = F.struct(F.xxhash64("node", "key").alias("draw"), "node", "size")
-    shared = keys.groupBy("key").agg(F.min(draw).alias("low"), F.max(draw).alias("high")).where("low.node <> high.node")
-    shared = written(shared.select("key", F.col("low.node").alias("drawn"), F.col("low.size").alias("drawn_size")), "near-shared")
-    members = written(keys.join(shared, "key"), "near-members")
-    wanted = written(members.groupBy("node").agg(F.min(row_col).alias(row_col)).select(row_col), "near-wanted")
-    sets = _by_text(rows.join(wanted, row_col, "left_semi"), text_col)
+    keys = near_members(nodes).join(nodes.select("node", row_col, "size"), "node")
+    members = written(keys, "near-members")
+    draws = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key").alias("draw"), "node", "size")).alias("drawn"))
+    members = written(members.join(draws.select("key", F.col("drawn.node").alias("drawn"), F.col("drawn.size").alias("drawn_size")), "key"), "near-drawn")
+    sets = _by_text(rows.join(members.select(row_col), row_col, "left_semi"), text_col)
     sets = written(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "near-sets")
 
-    ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    near_size = lambda a, b: 5 * F.least(a, b) >= 4 * F.greatest(a, b)
-    drawn = members.where("node <> drawn").where(near_size("size", "drawn_size")).select(*ordered("node", "drawn")).distinct()
-    links = written(_alike(drawn, sets), "near-links")
-    reached = connected_components(links, "near-components")
+    near_size = 5 * F.least("size", "drawn_size") >= 4 * F.greatest("size", "drawn_size")
+    links = written(_alike(members.where("node <> drawn").where(near_size).select(F.col("node").alias("a"), F.col("drawn").alias("b")), sets), "near-links")
 
-    placed = members.join(reached, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("c"))
-    placed = written(placed, "near-placed")
-    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
+    linked = links.select(F.col("a").alias("node"), F.col("b").alias("c"))
+    placed = members.join(linked, "node", "left").select("key", "node", "size", "drawn", F.coalesce("c", "node").alias("c"))
+    placed = written(placed.withColumn("main", F.col("c") == F.col("drawn")).drop("drawn"), "near-placed")
+    split = placed.where("NOT main").select("key").distinct()
     left = written(placed.join(split, "key", "left_semi"), "near-left")
-    hot = left.groupBy("key").agg((F.sum("size") * 8).alias("bytes")).where(F.col("bytes") > group_bytes)
-    hot = written(hot.select("key", F.ceil(F.col("bytes") / F.lit(group_bytes // 2)).alias("n")), "near-hot")
+    bytes_of = lambda kind: 8 * F.sum(F.when(kind, F.col("size")).otherwise(0))
+    hot = left.groupBy("key").agg(bytes_of(F.col("main")).alias("main"), bytes_of(~F.col("main")).alias("rest")).where(F.col("main") + F.col("rest") > group_bytes)
+    hot = written(hot.select("key", *(F.ceil(F.col(c) / F.lit(group_bytes // 2)).alias(f"n_{c}") for c in ("main", "rest"))), "near-hot")
     rows = left.select("key", F.lit(0).cast("long").alias("chunks"), "node", "c")
     if hot.limit(1).count():
-        dealt = left.join(hot, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), "n")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-        pair = F.least("chunk", "other") * F.col("n") + F.greatest("chunk", "other")
-        rows = rows.join(hot, "key", "left_anti").unionByName(dealt.select("key", pair.alias("chunks"), "node", "c"))
+        rows = rows.join(hot, "key", "left_anti").unionByName(dealt_out(left.drop("size"), hot))
     grouped = rows.join(sets, "node").select("key", "chunks", "node", "c", "hashes").repartition("key", "chunks").sortWithinPartitions("key", "chunks")
     more = written(grouped.mapInArrow(_group_links, "a long, b long"), "near-more")
-    if more.limit(1).count():
-        reached = connected_components(links.unionByName(more), "near-components")
+    reached = connected_components(links.unionByName(more), "near-components")
     return marked.select(row_col, "node").join(reached, "node", "left").select(row_col, F.coalesce("component", "node").alias("component"))

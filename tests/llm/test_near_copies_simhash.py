@@ -57,3 +57,26 @@ def test_short_texts_and_small_chunks_of_fingerprints(spark, make_docs, monkeypa
     docs = make_docs(texts).withColumn("row", F.xxhash64("text"))
     component = {r["row"]: r["component"] for r in near_copies.near_copies(docs, "row").collect()}
     assert len(set(component.values())) == len(set(brute_groups(texts)))
+
+
+def test_a_group_of_near_copies_has_a_row_a_member_and_is_dealt_out_in_proportion(spark):
+    rng = np.random.default_rng(7)
+    base = int(drawn(rng, 1)[0] >> np.uint64(1))
+    for n in (100, 200):
+        rows = [(i, base ^ (1 << i % 60), i // 60, list(range(40)), 50) for i in range(n)]
+        frame = spark.createDataFrame(rows, "node long, low long, high long, hashes array<long>, size int")
+        for most in (20_000, 20):
+            found = near_copies.near_members(frame, most).collect()
+            assert sorted(r["node"] for r in found) == list(range(n)) and len({r["key"] for r in found}) == 1
+    far = spark.createDataFrame([(1, 5, 5, [9], 100), (2, 5, 5, [9], 79), (3, 5, 5, [9], 80)], "node long, low long, high long, hashes array<long>, size int")
+    assert {r["key"] for r in near_copies.near_members(far).collect()} == {1}  # 79 and 80, 80 and 100
+
+    for n in (1_000, 2_000):  # of one key, all but 10 linked with the drawn one
+        rows = spark.range(n).select(F.lit(1).alias("key"), F.col("id").alias("node"), (F.col("id") >= 10).alias("main"))
+        parts = spark.createDataFrame([(1, n // 100, 2)], "key int, n_main long, n_rest long")
+        dealt = near_copies.dealt_out(rows, parts).collect()
+        assert len(dealt) <= 2 * n + 10 * (n // 100 + 1)
+        at = {}
+        for r in dealt:
+            at.setdefault(r["node"], set()).add(r["chunks"])
+        assert all(at[i] & at[j] for i in range(10) for j in range(n))
